@@ -36,7 +36,7 @@ CATEGORIES = ("ORIGIN_CITY", "DEST_CITY", "ORIGIN_STATE", "DEST_STATE", "ROUTE")
 SCALED = ("DISTANCE", "CRS_ELAPSED_TIME", "AVG_SPEED", "DEP_HOUR", "ARR_HOUR")
 
 
-def _shape(df: DataFrame, *keep: str, **digits: int) -> DataFrame:
+def _shape(df: DataFrame, /, *keep: str, **digits: int) -> DataFrame:
     """The named columns, then doubles rounded for comparison."""
     rounded = [F.round(F.col(c).cast("double"), d).alias(c) for c, d in digits.items()]
     return df.select(*keep, *rounded)
@@ -54,10 +54,6 @@ def _clean(run: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: run(clean_flights(star.flights(spark, folder)))
 
 
-def _means(df: DataFrame) -> DataFrame:
-    return _rounded(df)
-
-
 def _leaky(df: DataFrame) -> DataFrame:
     """The raw table with some after-the-fact columns for the drop to remove."""
     return df.withColumns(
@@ -81,15 +77,12 @@ def _hours(column: str) -> Callable[[DataFrame], DataFrame]:
 
 
 def _peaks(df: DataFrame) -> DataFrame:
-    def flags(encoding: str) -> DataFrame:
-        return X.add_peak_evening(X.add_peak_morning(X.add_dep_hour(df, encoding)))
-
-    # The two readings of the clock differ only in the hour, so both flag
-    # pairs come from one scan.
-    out = flags("hhmm").withColumnsRenamed({"PEAK_MORNING": "hhmm_morning", "PEAK_EVENING": "hhmm_evening"}).drop("DEP_HOUR")
-    out = X.add_peak_evening(X.add_peak_morning(X.add_dep_hour(out, "minutes")))
-    out = out.withColumnsRenamed({"PEAK_MORNING": "minutes_morning", "PEAK_EVENING": "minutes_evening"})
-    return out.select("FLIGHT_ID", "hhmm_morning", "hhmm_evening", "minutes_morning", "minutes_evening")
+    """Both readings of the clock, side by side from one scan."""
+    for encoding in ("hhmm", "minutes"):
+        df = X.add_peak_evening(X.add_peak_morning(X.add_dep_hour(df, encoding)))
+        names = {"PEAK_MORNING": f"{encoding}_morning", "PEAK_EVENING": f"{encoding}_evening"}
+        df = df.withColumnsRenamed(names).drop("DEP_HOUR")
+    return df.select("FLIGHT_ID", "hhmm_morning", "hhmm_evening", "minutes_morning", "minutes_evening")
 
 
 def _export_roundtrip(df: DataFrame) -> DataFrame:
@@ -159,7 +152,7 @@ def _pca_scores(df: DataFrame) -> DataFrame:
 
 def _pca_by_label(df: DataFrame) -> DataFrame:
     scored = _standard_scores(df)
-    return _means(G.label_summary(G.score_sample(scored, G.fit_components(scored))))
+    return _rounded(G.label_summary(G.score_sample(scored, G.fit_components(scored))))
 
 
 def _knn_embeddings(spark: SparkSession, folder: str) -> DataFrame:
@@ -251,19 +244,19 @@ def queries() -> dict[str, Query]:
         # reports and grouped tables
         "missing_report": _raw(lambda df: _rounded(K.missing_report(df))),
         "summary_categorical": _clean(P.describe_text),
-        "delay_by_dow": _clean(lambda df: _means(A.delay_by_weekday(df))),
-        "delay_rate_by_dow": _clean(lambda df: _means(A.delay_rate_by_weekday(df))),
-        "delay_by_month": _clean(lambda df: _means(A.delay_by_month(df))),
-        "delay_month_dow": _clean(lambda df: _means(A.delay_by_weekday_and_month(df))),
-        "delay_month_dow_wide": _clean(lambda df: _means(A.delay_month_matrix(df))),
-        "delay_grouping_sets": _clean(lambda df: _means(A.delay_grouping_sets(df))),
-        "delay_timebin_month": _clean(lambda df: _means(A.delay_by_time_and_month(df))),
-        "delay_by_timebin": _clean(lambda df: _means(A.delay_by_time_of_day(df))),
-        "route_delay_rate": _clean(lambda df: _means(A.route_delay_rate(df, min_flights=ROUTE_FLOOR))),
-        "origin_volume_delay": _clean(lambda df: _means(A.volume_and_delay(df, min_flights=CITY_FLOOR))),
-        "top_airlines": _clean(lambda df: _means(A.top_airlines(df, min_flights=AIRLINE_FLOOR))),
-        "top_origins": _clean(lambda df: _means(A.top_origins(df, min_flights=CITY_FLOOR))),
-        "top_dests": _clean(lambda df: _means(A.top_destinations(df, min_flights=CITY_FLOOR))),
+        "delay_by_dow": _clean(lambda df: _rounded(A.delay_by_weekday(df))),
+        "delay_rate_by_dow": _clean(lambda df: _rounded(A.delay_rate_by_weekday(df))),
+        "delay_by_month": _clean(lambda df: _rounded(A.delay_by_month(df))),
+        "delay_month_dow": _clean(lambda df: _rounded(A.delay_by_weekday_and_month(df))),
+        "delay_month_dow_wide": _clean(lambda df: _rounded(A.delay_month_matrix(df))),
+        "delay_grouping_sets": _clean(lambda df: _rounded(A.delay_grouping_sets(df))),
+        "delay_timebin_month": _clean(lambda df: _rounded(A.delay_by_time_and_month(df))),
+        "delay_by_timebin": _clean(lambda df: _rounded(A.delay_by_time_of_day(df))),
+        "route_delay_rate": _clean(lambda df: _rounded(A.route_delay_rate(df, min_flights=ROUTE_FLOOR))),
+        "origin_volume_delay": _clean(lambda df: _rounded(A.volume_and_delay(df, min_flights=CITY_FLOOR))),
+        "top_airlines": _clean(lambda df: _rounded(A.top_airlines(df, min_flights=AIRLINE_FLOOR))),
+        "top_origins": _clean(lambda df: _rounded(A.top_origins(df, min_flights=CITY_FLOOR))),
+        "top_dests": _clean(lambda df: _rounded(A.top_destinations(df, min_flights=CITY_FLOOR))),
         # distributions and relations
         "correlation_matrix": _clean(lambda df: _rounded(R.correlation_matrix(df))),
         "delay_histogram": _clean(lambda df: _rounded(D.delay_histogram(df))),
@@ -294,7 +287,7 @@ def queries() -> dict[str, Query]:
         "welch_pandemic": _test(H.welch_era),
         "welch_all": _test(H.run_all_tests),
         "era_delays": _clean(
-            lambda df: _means(A.mean_delay(df.withColumn("era", H.era(F.col("FL_YEAR"))), ["era"]))
+            lambda df: _rounded(A.mean_delay(df.withColumn("era", H.era(F.col("FL_YEAR"))), ["era"]))
         ),
         # components and neighbours
         "covariance_matrix": _clean(lambda df: _rounded(R.covariance_matrix(df, COMPONENT_DEFAULTS))),

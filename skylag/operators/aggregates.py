@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..schema import require
+from ..schema import complete, require
 
 DELAY = "ARR_DELAY"
 
@@ -21,7 +21,7 @@ def mean_delay(df: DataFrame, keys: Sequence[str], delay: str = DELAY) -> DataFr
     """Mean delay and row count per key; rows with a missing key are left out."""
     require(df, [*keys, delay])
     return (
-        df.dropna("any", subset=list(keys))
+        complete(df, keys)
         .groupBy(*keys)
         .agg(F.avg(delay).alias("avg_delay"), F.count(F.lit(1)).alias("flights"))
     )
@@ -32,7 +32,7 @@ def delay_rate(df: DataFrame, keys: Sequence[str], delay: str = DELAY) -> DataFr
     require(df, [*keys, delay])
     rate = F.avg(C.delayed(F.col(delay))) * F.lit(100.0)
     return (
-        df.dropna("any", subset=list(keys))
+        complete(df, keys)
         .groupBy(*keys)
         .agg(rate.alias("delay_rate"), F.count(F.lit(1)).alias("flights"))
     )
@@ -58,7 +58,7 @@ def delay_month_matrix(df: DataFrame, delay: str = DELAY) -> DataFrame:
     """Weekday rows by month columns; listing the months saves the distinct job."""
     require(df, ["FL_DAY_OF_WEEK", "FL_MONTH", delay])
     wide = (
-        df.dropna("any", subset=["FL_DAY_OF_WEEK", "FL_MONTH"])
+        complete(df, ["FL_DAY_OF_WEEK", "FL_MONTH"])
         .groupBy("FL_DAY_OF_WEEK")
         .pivot("FL_MONTH", list(range(1, 13)))
         .agg(F.avg(delay))
@@ -74,7 +74,7 @@ def delay_grouping_sets(df: DataFrame, delay: str = DELAY) -> DataFrame:
     day, month, season = (F.col(k) for k in keys)
     # Collapsing to the finest key first lets the four-way expansion run over
     # at most 84 sums per task instead of over every row.
-    finest = df.dropna("any", subset=keys).groupBy(*keys).agg(
+    finest = complete(df, keys).groupBy(*keys).agg(
         F.sum(delay).alias("total"),
         F.count(delay).alias("known"),
         F.sum(C.delayed(F.col(delay))).alias("late"),
@@ -100,7 +100,7 @@ def delay_by_time_and_month(
     """Mean delay per time-of-day bin and month over complete rows."""
     needed = [f"{prefix}_sin", f"{prefix}_cos", "FL_MONTH", delay]
     require(df, needed)
-    rows = df.select(*needed).dropna("any")
+    rows = complete(df.select(*needed))
     return (
         rows.groupBy(_departure_bin(prefix, bins).alias("bin"), "FL_MONTH")
         .agg(F.avg(delay).alias("avg_delay"), F.count(F.lit(1)).alias("flights"))
@@ -114,7 +114,7 @@ def delay_by_time_of_day(
     """Mean delay per time-of-day bin; empty bins are kept with no mean."""
     needed = [f"{prefix}_sin", f"{prefix}_cos", delay]
     require(df, needed)
-    rows = df.select(*needed).dropna("any")
+    rows = complete(df.select(*needed))
     found = rows.groupBy(_departure_bin(prefix, bins).alias("time_bin")).agg(
         F.avg(delay).alias("avg_delay"), F.count(F.lit(1)).alias("flights")
     )

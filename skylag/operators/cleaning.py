@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..schema import LEAKAGE_COLUMNS
+from ..schema import LEAKAGE_COLUMNS, complete
 
 
 def drop_columns(df: DataFrame, columns: Iterable[str] = LEAKAGE_COLUMNS) -> DataFrame:
@@ -30,7 +30,7 @@ def filter_completed(df: DataFrame, flags: tuple[str, str] = ("CANCELLED", "DIVE
 
 def clean_na(df: DataFrame) -> DataFrame:
     """Complete cases only."""
-    return df.dropna("any")
+    return complete(df)
 
 
 def fix_negative_delays(df: DataFrame, column: str = "ARR_DELAY") -> DataFrame:

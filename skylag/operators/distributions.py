@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..schema import present, require
+from ..schema import complete, present, require
 from .cleaning import clip_columns
 from .quantiles import summarise
 
@@ -130,7 +130,7 @@ def density(
     """
     require(df, [column, *([by] if by else [])])
     df = df.select(*([by] if by else []), F.col(column).cast("double").alias(column))
-    df = df.dropna("any")
+    df = complete(df)
     if clip:
         df = clip_columns(df, {column: clip})
     if resolution:
@@ -244,7 +244,7 @@ def cyclical_points(df: DataFrame, prefixes: Sequence[str] = ("CRS_DEP_TIME", "C
     out = None
     for prefix in prefixes:
         if {f"{prefix}_sin", f"{prefix}_cos"} <= set(df.columns):
-            pair = df.select(F.col(f"{prefix}_sin").alias("s"), F.col(f"{prefix}_cos").alias("c")).dropna("any")
+            pair = complete(df.select(F.col(f"{prefix}_sin").alias("s"), F.col(f"{prefix}_cos").alias("c")))
             minute = C.clock_minute(F.col("s"), F.col("c"))
             part = pair.select(F.lit(prefix).alias("time_column"), minute.alias("minute"))
             out = part if out is None else out.unionByName(part)

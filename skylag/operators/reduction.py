@@ -1,7 +1,7 @@
 """Principal components of a handful of columns over any number of rows.
 
-The data-sized work is one aggregate: means and second moments of the complete
-rows. The eigenvectors of the resulting columns-by-columns matrix are found on
+The data-sized work is two aggregates over the complete rows: the means, then
+the sums of centred products. The eigenvectors of the resulting columns-by-columns matrix are found on
 the driver, and scores are plain column arithmetic.
 """
 
@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import label_view
-from ..schema import COMPONENT_DEFAULTS, present, require
+from ..schema import COMPONENT_DEFAULTS, complete, present, require
+from .relations import centres
 from .sampling import capped_sample
 
 # Columns whose values colour the component views.
@@ -52,16 +53,16 @@ def fit_components(df: DataFrame, columns: Sequence[str] | None = None) -> Compo
     columns = present(df, columns or COMPONENT_DEFAULTS)
     if len(columns) < 2:
         raise ValueError("at least two feature columns are needed")
-    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna("any")
-    pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    measures = [F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)]
-    measures += [F.covar_samp(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in pairs]
-    moments = rows.agg(*measures).first()
-    if moments["c0_0"] is None:
+    rows = complete(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
+    n, means, _ = centres(rows, columns)
+    if n < 2:
         raise ValueError("at least two complete rows are needed")
+    pairs = list(combinations_with_replacement(range(len(columns)), 2))
+    centred = [F.col(c) - F.lit(means[c]) for c in columns]
+    products = rows.agg(*[F.sum(centred[i] * centred[j]).alias(f"p{i}_{j}") for i, j in pairs]).first()
     matrix = np.zeros((len(columns), len(columns)))
     for i, j in pairs:
-        matrix[i, j] = matrix[j, i] = moments[f"c{i}_{j}"]
+        matrix[i, j] = matrix[j, i] = products[f"p{i}_{j}"] / (n - 1)
     values, vectors = np.linalg.eigh(matrix)
     order = np.argsort(values)[::-1]
     loadings = []
@@ -71,7 +72,7 @@ def fit_components(df: DataFrame, columns: Sequence[str] | None = None) -> Compo
         lead = int(np.argmax(size >= size.max() - 1e-9))
         loadings.append([float(x) for x in (vector if vector[lead] > 0 else -vector)])
     variances = [float(max(values[p], 0.0)) for p in order]
-    return Components(columns, [moments[f"m{i}"] for i in range(len(columns))], variances, loadings)
+    return Components(columns, [means[c] for c in columns], variances, loadings)
 
 
 def variance_table(df: DataFrame, fitted: Components) -> DataFrame:
@@ -102,7 +103,7 @@ def component_scores(df: DataFrame, fitted: Components, components: int = 2) ->
         for column, mean, weight in zip(fitted.columns, fitted.means, vector):
             total = total + (F.col(column).cast("double") - F.lit(mean)) * F.lit(weight)
         scores[f"PC{i}"] = total
-    return df.withColumns(scores).dropna("any", subset=list(scores))
+    return complete(df, fitted.columns).withColumns(scores)
 
 
 def score_sample(

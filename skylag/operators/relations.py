@@ -20,28 +20,69 @@ def _real(name: str) -> Column:
 
 def _long_matrix(wide: DataFrame, columns: Sequence[str], value: str) -> DataFrame:
     """The one-row aggregate as rows ``(var1, var2, value)``, both halves."""
-    cells = []
-    for i, a in enumerate(columns):
-        for j, b in enumerate(columns):
-            cell = F.col(f"m_{min(i, j)}_{max(i, j)}")
-            cells.append(F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), cell.alias(value)))
-    return wide.select(F.inline(F.array(*cells)))
+    cells = [
+        f"{_text(a)}, {_text(b)}, m_{min(i, j)}_{max(i, j)}"
+        for i, a in enumerate(columns)
+        for j, b in enumerate(columns)
+    ]
+    return wide.selectExpr(f"stack({len(cells)}, {', '.join(cells)}) AS (var1, var2, {value})")
+
+
+def _text(name: str) -> str:
+    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def centres(df: DataFrame, columns: Sequence[str]) -> tuple[int, dict[str, float], set[str]]:
+    """Row count, column means and the columns that have missing values."""
+    measures = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(columns):
+        measures += [F.avg(_real(c)).alias(f"m{i}"), F.count(F.col(c)).alias(f"n{i}")]
+    row = df.agg(*measures).first()
+    means = {c: row[f"m{i}"] or 0.0 for i, c in enumerate(columns)}
+    return row["rows"], means, {c for i, c in enumerate(columns) if row[f"n{i}"] < row["rows"]}
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED_COLUMNS) -> DataFrame:
-    """Pearson matrix over pairwise complete rows; NULL beside a constant column."""
+    """Pearson matrix over pairwise complete rows; NULL beside a constant column.
+
+    Values are centred by a first pass, so that the second needs nothing but
+    sums of products. A pair without missing values shares the squares of its
+    columns; only pairs that do have gaps sum their own.
+    """
     columns = present(df, columns)
     if not columns:
         raise ValueError("none of the columns exists")
-    measures = []
+    _, means, gaps = centres(df, columns)
+    centred = df.select(*[(_real(c) - F.lit(means[c])).alias(f"v{i}") for i, c in enumerate(columns)])
+    sums: dict[str, str] = {"n": "count(1)"}
+    cells: list[str] = []
     for i, a in enumerate(columns):
-        measures.append(F.try_divide(F.var_pop(_real(a)), F.var_pop(_real(a))).alias(f"m_{i}_{i}"))
+        sums[f"s_{i}"] = f"sum(v{i} * v{i})"
+        sums[f"n_{i}"] = f"count(v{i})"
+        cells.append(f"CASE WHEN s_{i} > n_{i} * {_noise(means[a])} THEN 1.0D END AS m_{i}_{i}")
     for (i, a), (j, b) in combinations(enumerate(columns), 2):
-        x = F.when(F.col(b).isNotNull(), _real(a))
-        y = F.when(F.col(a).isNotNull(), _real(b))
-        spread = F.stddev_pop(x) * F.stddev_pop(y)
-        measures.append(F.try_divide(F.covar_pop(x, y), spread).alias(f"m_{i}_{j}"))
-    return _long_matrix(df.agg(*measures), columns, "corr")
+        name = f"{i}_{j}"
+        sums[f"p_{name}"] = f"sum(v{i} * v{j})"
+        if a in gaps or b in gaps:
+            both = f"FILTER (WHERE v{i} IS NOT NULL AND v{j} IS NOT NULL)"
+            sums[f"n_{name}"] = f"count(1) {both}"
+            for mark, term in (("x", f"v{i}"), ("y", f"v{j}"), ("a", f"v{i} * v{i}"), ("b", f"v{j} * v{j}")):
+                sums[f"{mark}_{name}"] = f"sum({term}) {both}"
+            cov = f"(p_{name} - try_divide(x_{name} * y_{name}, n_{name}))"
+            var_x = f"(a_{name} - try_divide(x_{name} * x_{name}, n_{name}))"
+            var_y = f"(b_{name} - try_divide(y_{name} * y_{name}, n_{name}))"
+            count = f"n_{name}"
+        else:
+            cov, var_x, var_y, count = f"p_{name}", f"s_{i}", f"s_{j}", "n"
+        varies = f"{var_x} > {count} * {_noise(means[a])} AND {var_y} > {count} * {_noise(means[b])}"
+        cells.append(f"CASE WHEN {varies} THEN {cov} / (sqrt({var_x}) * sqrt({var_y})) END AS m_{name}")
+    wide = centred.agg(*[F.expr(text).alias(name) for name, text in sums.items()])
+    return _long_matrix(wide.selectExpr(*cells), columns, "corr")
+
+
+def _noise(mean: float) -> str:
+    """A mean square up to here is rounding noise of a constant column."""
+    return f"{(abs(mean) * 1e-14) ** 2!r}D"
 
 
 def covariance_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Columns removed before modelling because they are known only
@@ -166,3 +168,17 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+
+
+def is_known(columns: Iterable[str]) -> Column:
+    """True where none of the columns is NULL (scans turn NaN into NULL).
+
+    One condition per column, unlike ``dropna``: each can be pushed to the
+    scan on its own, and columns that cannot be NULL cost nothing.
+    """
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns], F.lit(True))
+
+
+def complete(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """Rows in which all (or the listed) columns are known."""
+    return df.where(is_known(df.columns if columns is None else columns))

@@ -20,6 +20,8 @@ def local_session(app: str = "skylag", cpus: int | str = 8, memory: str = "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -50,3 +52,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the optimizer's size estimate of a scan is below the broadcast limit.
+
+    For a scan the estimate comes from the file sizes and the columns read.
+    Where no estimate can be had the answer is no, and the join shuffles.
+    """
+    spark = df.sparkSession
+    try:
+        limit = int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:
+        return False
+    return 0 <= size <= limit

@@ -24,7 +24,7 @@ from ..plans.cleaning import clean_flights
 from ..plans.modelling import model_matrix
 from ..plans.report import Floors, write_report
 from ..schema import COMPONENT_DEFAULTS, NEIGHBOUR_FEATURES
-from ..session import fresh_path
+from ..session import fresh_path, materialise
 from ..sources import star
 from ..sources.files import read_flights_csv, write_csv
 
@@ -54,6 +54,16 @@ def _clean(run: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: run(clean_flights(star.flights(spark, folder)))
 
 
+def _stored(run: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
+    """For steps of several passes: the clean columns they need are stored first."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        clean = clean_flights(star.flights(spark, folder))
+        return run(materialise(clean.select(*columns) if columns else clean, "clean"))
+
+    return query
+
+
 def _leaky(df: DataFrame) -> DataFrame:
     """The raw table with some after-the-fact columns for the drop to remove."""
     return df.withColumns(
@@ -105,28 +115,19 @@ def _lexicon(df: DataFrame) -> E.Lexicon:
     return E.fit_codes(train)
 
 
-def _parts(train: DataFrame, test: DataFrame) -> DataFrame:
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
-
-
-def _split(df: DataFrame) -> DataFrame:
-    return _parts(*S.train_test_split(df.select("FLIGHT_ID"))).select("FLIGHT_ID", "part")
-
-
 def _encode_test(df: DataFrame) -> DataFrame:
     train, test = S.train_test_split(df)
-    return E.apply_codes(test.select("FLIGHT_ID", *CATEGORIES), E.fit_codes(train))
+    return E.apply_codes(test, E.fit_codes(train))
 
 
 def _scale(df: DataFrame) -> DataFrame:
-    train, test = S.train_test_split(df.select("FLIGHT_ID", *SCALED))
-    scaler = fit_scaler(train)
-    return _shape(_parts(scaler.apply(train), scaler.apply(test)), "FLIGHT_ID", "part", **dict.fromkeys(SCALED, 6))
+    rows = S.mark_split(df)
+    scaler = fit_scaler(rows.where(F.col("part") == "train"), SCALED)
+    return _shape(scaler.apply(rows), "FLIGHT_ID", "part", **dict.fromkeys(SCALED, 6))
 
 
 def _matrix(df: DataFrame) -> DataFrame:
-    fitted = model_matrix(df)
-    out = _parts(fitted.train, fitted.test)
+    out = model_matrix(df).rows
     real = dict.fromkeys((*SCALED, *CLOCK), 6)
     return _shape(out, *[c for c in out.columns if c not in real], **real)
 
@@ -184,7 +185,7 @@ def _test(run: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _codes(name: str) -> Query:
-    return _clean(lambda df: _lexicon(df).codes(name))
+    return _stored(lambda df: _lexicon(df).codes(name), "FLIGHT_ID", *CATEGORIES)
 
 
 def _events_box(spark: SparkSession, folder: str) -> DataFrame:
@@ -209,7 +210,7 @@ def queries() -> dict[str, Query]:
         "describe_numeric": _raw(lambda df: _rounded(P.describe_numeric(df))),
         "describe_clean": _clean(lambda df: _rounded(P.describe_numeric(df))),
         "export_roundtrip": _clean(_export_roundtrip),
-        "encoding_mappings": _clean(lambda df: E.encoding_mappings(_lexicon(df))),
+        "encoding_mappings": _stored(lambda df: E.encoding_mappings(_lexicon(df)), "FLIGHT_ID", *CATEGORIES),
         # projections and filters
         "drop_leakage": _raw(lambda df: K.drop_columns(_leaky(df))),
         "filter_completed": _raw(K.filter_completed),
@@ -272,16 +273,17 @@ def queries() -> dict[str, Query]:
         "band_delay_elapsed": _clean(lambda df: _rounded(R.line_band(df, "CRS_ELAPSED_TIME"))),
         "cyclical_points": _clean(lambda df: _rounded(D.cyclical_points(df))),
         # sampling, encoding, scaling
-        "train_test_split": _clean(_split),
+        "train_test_split": _stored(S.mark_split, "FLIGHT_ID"),
         "state_codes": _codes(E.STATE),
         "route_codes": _codes(E.ROUTE),
-        "city_codes": _clean(
-            lambda df: _lexicon(df).table.where(F.col("Column").isin("ORIGIN_CITY", "DEST_CITY"))
+        "city_codes": _stored(
+            lambda df: _lexicon(df).table.where(F.col("Column").isin("ORIGIN_CITY", "DEST_CITY")),
+            "FLIGHT_ID", *CATEGORIES,
         ),
-        "encode_test": _clean(_encode_test),
-        "scale_numeric": _clean(_scale),
-        "balanced_sample": _clean(lambda df: S.balance_by_delay(df).select("FLIGHT_ID", "ARR_DELAY")),
-        "capped_sample": _clean(lambda df: S.capped_sample(df, max_rows=CAPPED).select("FLIGHT_ID")),
+        "encode_test": _stored(_encode_test, "FLIGHT_ID", *CATEGORIES),
+        "scale_numeric": _stored(_scale, "FLIGHT_ID", *SCALED),
+        "balanced_sample": _stored(S.balance_by_delay, "FLIGHT_ID", "ARR_DELAY"),
+        "capped_sample": _stored(lambda df: S.capped_sample(df, max_rows=CAPPED), "FLIGHT_ID"),
         # statistical tests
         "welch_weekend": _test(H.welch_weekend),
         "welch_pandemic": _test(H.welch_era),
@@ -291,16 +293,16 @@ def queries() -> dict[str, Query]:
         ),
         # components and neighbours
         "covariance_matrix": _clean(lambda df: _rounded(R.covariance_matrix(df, COMPONENT_DEFAULTS))),
-        "pca_variance": _clean(_pca_variance),
-        "pca_loadings": _clean(_pca_loadings),
-        "pca_scores": _clean(_pca_scores),
-        "pca_by_label": _clean(_pca_by_label),
+        "pca_variance": _stored(_pca_variance, *COMPONENT_DEFAULTS),
+        "pca_loadings": _stored(_pca_loadings, *COMPONENT_DEFAULTS),
+        "pca_scores": _stored(_pca_scores, "FLIGHT_ID", *COMPONENT_DEFAULTS),
+        "pca_by_label": _stored(_pca_by_label, "FLIGHT_ID", *COMPONENT_DEFAULTS, *G.LABEL_VIEWS.values()),
         "knn_graph": _knn_embeddings,
-        "knn_flights": _clean(_knn_flights),
+        "knn_flights": _stored(_knn_flights),
         # pipelines
         "clean_pipeline": _clean(lambda df: _shape(df, *[c for c, t in df.dtypes if c not in (*CLOCK, "AVG_SPEED")], **dict.fromkeys((*CLOCK, "AVG_SPEED"), 6))),
-        "model_matrix": _clean(_matrix),
-        "report_index": _clean(_report_index),
+        "model_matrix": _stored(_matrix),
+        "report_index": _stored(_report_index),
         # the same operators on a table with other column names
         "events_mean": _events_mean,
         "events_box": _events_box,

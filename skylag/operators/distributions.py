@@ -174,15 +174,15 @@ def delay_density(df: DataFrame, grid: int = 200, clip: tuple[float, float] = DE
 
 
 def numeric_densities(df: DataFrame, columns: Sequence[str] = NUMERIC, grid: int = 200) -> DataFrame:
-    """One density curve per listed column that exists, delay clipped."""
-    curves = None
-    for name in present(df, columns):
-        curve = density(df, name, None, grid, clip=DELAY_RANGE if name == "ARR_DELAY" else None)
-        curve = curve.select(F.lit(name).alias("column"), "point", "x", "density")
-        curves = curve if curves is None else curves.unionByName(curve)
-    if curves is None:
+    """One density curve per listed column that exists, delay clipped.
+
+    The columns are stacked, so all curves share both passes.
+    """
+    columns = present(df, columns)
+    if not columns:
         raise ValueError("none of the columns exists")
-    return curves
+    long = _long(clip_columns(df, {"ARR_DELAY": DELAY_RANGE} if "ARR_DELAY" in columns else {}), columns)
+    return density(long, "value", "column", grid)
 
 
 def box_stats(

@@ -77,12 +77,20 @@ def capped_sample(df: DataFrame, id_column: str = "FLIGHT_ID", max_rows: int = 1
     return df.where(first_rows(df, id_column, max_rows, seed))
 
 
+def mark_split(
+    df: DataFrame, id_column: str = "FLIGHT_ID", test_size: float = 0.2, seed: int = 48, name: str = "part"
+) -> DataFrame:
+    """Label every row ``train`` or ``test``; ceil(test_size * n) rows are test."""
+    chosen = first_rows(df, id_column, lambda n: math.ceil(round(test_size * n, 9)), seed)
+    return df.withColumn(name, F.when(chosen, "test").otherwise("train"))
+
+
 def train_test_split(
     df: DataFrame, id_column: str = "FLIGHT_ID", test_size: float = 0.2, seed: int = 48
 ) -> tuple[DataFrame, DataFrame]:
-    """Disjoint train and test rows; the test part has ceil(test_size * n) rows."""
-    chosen = first_rows(df, id_column, lambda n: math.ceil(round(test_size * n, 9)), seed)
-    return df.where(~chosen), df.where(chosen)
+    """The two disjoint parts of :func:`mark_split`."""
+    marked = mark_split(df, id_column, test_size, seed, "_part")
+    return tuple(marked.where(F.col("_part") == part).drop("_part") for part in ("train", "test"))
 
 
 def balance_by_delay(

@@ -67,3 +67,35 @@ def fits_broadcast(df: DataFrame) -> bool:
     except Exception:
         return False
     return 0 <= size <= limit
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder once and read it from there.
+
+    For steps that pass over the same derived rows several times: later passes
+    read only the columns they need and never repeat the work behind them.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+SMALL_SCAN_BYTES = 256 << 20
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Give every core a share of a small scan that arrives in few files.
+
+    Tables above the size bound, or in at least as many files as there are
+    cores, keep the splits of their scan: no shuffle is added to large data.
+    """
+    spark = df.sparkSession
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:
+        return df
+    if size > SMALL_SCAN_BYTES or len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import fits_broadcast
+from ..session import fits_broadcast, spread_small
 
 _YEARS_FORWARD = 24
 _WEEK_SAFE_MONTHS = 12 * _YEARS_FORWARD
@@ -61,7 +61,7 @@ def flights(spark: SparkSession, folder: str) -> DataFrame:
     # but its estimate is the product of both sides.
     orders = F.broadcast(orders) if small else orders
     rows = (
-        table(spark, folder, "lineitem")
+        spread_small(table(spark, folder, "lineitem"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(_place(nation, region, "origin_key", "ORIGIN_CITY"), F.col("s_nationkey") == F.col("origin_key"))

@@ -54,19 +54,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate of a scan is below the broadcast limit.
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate; for a scan it follows from the files read.
 
-    For a scan the estimate comes from the file sizes and the columns read.
-    Where no estimate can be had the answer is no, and the join shuffles.
+    None where the session gives no access to its plans (remote clients).
     """
-    spark = df.sparkSession
-    try:
-        limit = int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:
-        return False
-    return 0 <= size <= limit
+    handle = getattr(df, "_jdf", None)
+    return None if handle is None else int(str(handle.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -84,18 +78,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 SMALL_SCAN_BYTES = 256 << 20
 
 
-def spread_small(df: DataFrame) -> DataFrame:
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
     """Give every core a share of a small scan that arrives in few files.
 
     Tables above the size bound, or in at least as many files as there are
     cores, keep the splits of their scan: no shuffle is added to large data.
     """
-    spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:
+    size = estimated_bytes(df)
+    if size is None or size > SMALL_SCAN_BYTES:
         return df
-    if size > SMALL_SCAN_BYTES or len(df.inputFiles()) >= cores:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores:
         return df
-    return df.repartition(cores)
+    return df.repartition(cores, *keys)

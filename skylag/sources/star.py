@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import fits_broadcast, spread_small
+from ..session import spread_small
 
 _YEARS_FORWARD = 24
 _WEEK_SAFE_MONTHS = 12 * _YEARS_FORWARD
@@ -50,18 +50,13 @@ def _hhmm(hour_source: Column, minute_source: Column) -> Column:
 def flights(spark: SparkSession, folder: str) -> DataFrame:
     """The raw flight table, one row per line item."""
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    small = fits_broadcast(orders)
     orders = (
-        orders
+        table(spark, folder, "orders")
         .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .select("o_orderkey", "c_nationkey")
     )
-    # A customer key is unique, so the join above cannot outgrow the orders,
-    # but its estimate is the product of both sides.
-    orders = F.broadcast(orders) if small else orders
     rows = (
-        spread_small(table(spark, folder, "lineitem"))
+        spread_small(table(spark, folder, "lineitem"), "l_orderkey")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(_place(nation, region, "origin_key", "ORIGIN_CITY"), F.col("s_nationkey") == F.col("origin_key"))

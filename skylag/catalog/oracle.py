@@ -563,6 +563,12 @@ def oracle_sql() -> dict[str, str]:
         "fit_delay_elapsed": _fit_row("CRS_ELAPSED_TIME"),
         "band_delay_distance": _band("DISTANCE"),
         "band_delay_elapsed": _band("CRS_ELAPSED_TIME"),
+        **{
+            f"points_delay_{name}": on_clean(
+                f"SELECT {x}, {_clip('ARR_DELAY', -60, 180)} AS ARR_DELAY, count(*) AS n FROM clean GROUP BY 1, 2"
+            )
+            for name, x in (("distance", "DISTANCE"), ("elapsed", "CRS_ELAPSED_TIME"))
+        },
         "cyclical_points": on_clean(
             "SELECT c AS time_column, CAST(m AS INTEGER) AS minute, round(sin(2 * pi() * m / 1440.0::DOUBLE), 6) AS sin, "
             "round(cos(2 * pi() * m / 1440.0::DOUBLE), 6) AS cos, count(*) AS n FROM (SELECT 'CRS_DEP_TIME' AS c, dep_minute AS m FROM clean "

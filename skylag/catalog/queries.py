@@ -23,7 +23,7 @@ from ..operators.scaling import fit_scaler
 from ..plans.cleaning import clean_flights
 from ..plans.modelling import model_matrix
 from ..plans.report import Floors, write_report
-from ..schema import COMPONENT_DEFAULTS, NEIGHBOUR_FEATURES
+from ..schema import COMPONENT_DEFAULTS, COMPONENT_FEATURES, NEIGHBOUR_FEATURES
 from ..session import fresh_path, materialise
 from ..sources import star
 from ..sources.files import read_flights_csv, write_csv
@@ -156,6 +156,12 @@ def _pca_by_label(df: DataFrame) -> DataFrame:
     return _rounded(G.label_summary(G.score_sample(scored, G.fit_components(scored))))
 
 
+def _pca_train(df: DataFrame) -> DataFrame:
+    """Components of all seven numeric features, fitted on the training part."""
+    train = model_matrix(df).train
+    return _rounded(G.variance_table(train, G.fit_components(train, COMPONENT_FEATURES)))
+
+
 def _knn_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(knn_graph(star.table(spark, folder, "embeddings"), "vec_id", "embedding"))
 
@@ -271,6 +277,8 @@ def queries() -> dict[str, Query]:
         "fit_delay_elapsed": _line("CRS_ELAPSED_TIME"),
         "band_delay_distance": _clean(lambda df: _rounded(R.line_band(df, "DISTANCE"))),
         "band_delay_elapsed": _clean(lambda df: _rounded(R.line_band(df, "CRS_ELAPSED_TIME"))),
+        "points_delay_elapsed": _clean(lambda df: R.point_counts(df, "CRS_ELAPSED_TIME")),
+        "points_delay_distance": _clean(lambda df: R.point_counts(df, "DISTANCE")),
         "cyclical_points": _clean(lambda df: _rounded(D.cyclical_points(df))),
         # sampling, encoding, scaling
         "train_test_split": _stored(S.mark_split, "FLIGHT_ID"),
@@ -297,6 +305,7 @@ def queries() -> dict[str, Query]:
         "pca_loadings": _stored(_pca_loadings, *COMPONENT_DEFAULTS),
         "pca_scores": _stored(_pca_scores, "FLIGHT_ID", *COMPONENT_DEFAULTS),
         "pca_by_label": _stored(_pca_by_label, "FLIGHT_ID", *COMPONENT_DEFAULTS, *G.LABEL_VIEWS.values()),
+        "pca_train_features": _stored(_pca_train),
         "knn_graph": _knn_embeddings,
         "knn_flights": _stored(_knn_flights),
         # pipelines

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..schema import complete, present, require
 from .cleaning import clip_columns
-from .quantiles import summarise
+from .quantiles import collect_groups, summarise
 
 # Display ranges of the charts.
 DELAY_RANGE = (-60.0, 180.0)
@@ -94,10 +94,10 @@ def _bells(df: DataFrame, column: str, by: str | None, cut: float, rule: str) ->
     if rule == "scott":
         value = F.col(column).cast("double")
         group = F.col(by) if by else F.lit(None).cast("string")
-        stats = (
-            df.groupBy(group.alias("g"))
-            .agg(F.count(value).alias("n"), F.stddev_samp(value).alias("sd"), F.min(value).alias("lo"), F.max(value).alias("hi"))
-            .collect()
+        stats = collect_groups(
+            df.groupBy(group.alias("g")).agg(
+                F.count(value).alias("n"), F.stddev_samp(value).alias("sd"), F.min(value).alias("lo"), F.max(value).alias("hi")
+            )
         )
         fitted = [(r["g"], r["n"], r["lo"], r["hi"], (r["sd"] or 0.0) * r["n"] ** -0.2) for r in stats if r["n"]]
     elif rule == "nrd0":
@@ -210,7 +210,7 @@ def box_stats(
     long = wide.unpivot(["g"], columns, "column", "value").where(F.col("value").isNotNull())
     if approximate:
         q = F.percentile_approx("value", [0.25, 0.5, 0.75], 10_000)
-        fitted = [(r["g"], r["column"], *r["q"]) for r in long.groupBy("g", "column").agg(q.alias("q")).collect()]
+        fitted = [(r["g"], r["column"], *r["q"]) for r in collect_groups(long.groupBy("g", "column").agg(q.alias("q")))]
     else:
         fitted = [(s.group, s.column, *s.quantiles) for s in summarise(wide, columns, by="g" if by else None)]
     boxes = df.sparkSession.createDataFrame(fitted, f"b_g {kind}, b_column string, q1 double, median double, q3 double")

@@ -22,6 +22,15 @@ from pyspark.sql import types as T
 
 BUCKETS = 2048
 COUNT_SINGLY = 20_000
+MAX_GROUPS = 50_000
+
+
+def collect_groups(totals: DataFrame) -> list[Row]:
+    """One row per group; a key that is not a small category is refused."""
+    rows = totals.limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups: group by a column of few values")
+    return rows
 
 
 @dataclass
@@ -132,7 +141,7 @@ def summarise(
     try:
         long = _melt(narrow, columns, by)
         value = F.col("_value")
-        totals = (
+        totals = collect_groups(
             long.groupBy("_group", "_column")
             .agg(
                 F.count(value).alias("n"),
@@ -141,7 +150,6 @@ def summarise(
                 F.min(value).alias("low"),
                 F.max(value).alias("high"),
             )
-            .collect()
         )
         found: dict = {}
         open_ = []

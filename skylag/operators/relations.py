@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.student_t import upper_critical
-from ..schema import CORRELATED_COLUMNS, present, require
+from ..schema import CORRELATED_COLUMNS, complete, present, require
 from .cleaning import clip_columns
 from .distributions import DELAY_RANGE
 
@@ -139,3 +139,13 @@ def line_band(
     error = F.col("residual_se") * F.sqrt(F.lit(1.0) / F.col("n") + offset * offset / F.col("sxx"))
     half = upper_critical(F.col("n") - F.lit(2)) * error
     return grid.select("point", "x", middle.alias("fit"), (middle - half).alias("low"), (middle + half).alias("high"))
+
+
+def point_counts(
+    df: DataFrame, x: str, y: str = "ARR_DELAY", clip: tuple[float, float] | None = DELAY_RANGE
+) -> DataFrame:
+    """The points of a scatter chart, equal points merged and counted."""
+    require(df, [x, y])
+    if clip:
+        df = clip_columns(df, {y: clip})
+    return complete(df.select(x, y)).groupBy(x, y).agg(F.count(F.lit(1)).alias("n"))

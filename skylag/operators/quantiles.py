@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import is_plain_scan
+
 BUCKETS = 2048
 COUNT_SINGLY = 20_000
 MAX_GROUPS = 50_000
@@ -134,10 +136,14 @@ def summarise(
     """Count, mean, sample deviation, extremes and linear-interpolated quantiles.
 
     ``by`` must be a column of few values (season, weekday): one summary per
-    group and column comes back to the driver.
+    group and column comes back to the driver. The needed columns of a derived
+    table are kept for the passes; those of a stored table are read again.
     """
     keep = [by, *columns] if by else list(columns)
-    narrow = df.select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+    narrow = df.select(*keep)
+    cached = not is_plain_scan(narrow)
+    if cached:
+        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         long = _melt(narrow, columns, by)
         value = F.col("_value")
@@ -172,7 +178,8 @@ def summarise(
             )
             open_ = _settle(open_, counted.collect(), found)
     finally:
-        narrow.unpersist()
+        if cached:
+            narrow.unpersist()
 
     out = []
     for t in sorted(totals, key=lambda r: (str(r["_group"]), r["_column"])):

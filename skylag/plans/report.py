@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,17 +63,14 @@ def write_report(
 ) -> DataFrame:
     """Write every table below ``folder``; returns ``(table_name, rows)``.
 
-    The tables share one persisted copy of the cleaned rows. ``balanced``
-    reports on the zero-balanced sample instead of on all rows.
+    ``clean`` should be a stored table: every report then reads only its own
+    few columns of it. ``balanced`` reports on the zero-balanced sample, which
+    is a filter, instead of on all rows.
     """
     source = balance_by_delay(clean, id_column) if balanced else clean
-    source = source.persist(StorageLevel.MEMORY_AND_DISK)
     spark = clean.sparkSession
-    try:
-        for name, build in report_tables(floors).items():
-            build(source).write.mode("errorifexists").parquet(f"{folder}/{name}")
-    finally:
-        source.unpersist()
+    for name, build in report_tables(floors).items():
+        build(source).write.mode("errorifexists").parquet(f"{folder}/{name}")
     counts = [
         spark.read.parquet(f"{folder}/{name}").agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"))
         for name in report_tables(floors)

@@ -63,6 +63,16 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return None if handle is None else int(str(handle.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def is_plain_scan(df: DataFrame) -> bool:
+    """Whether reading the rows again needs no shuffle or broadcast.
+
+    Such a table is cheaper to scan once more, a few columns at a time, than
+    to copy into the executors' storage.
+    """
+    handle = getattr(df, "_jdf", None)
+    return handle is not None and "Exchange" not in handle.queryExecution().executedPlan().toString()
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder once and read it from there.
 

@@ -115,3 +115,9 @@ def test_only_small_scans_are_spread(spark, monkeypatch):
     assert session.spread_small(session.spread_small(orders), "o_orderkey").count() == orders.count()
     monkeypatch.setattr(session, "SMALL_SCAN_BYTES", 10)
     assert session.spread_small(orders) is orders
+
+
+def test_derived_tables_are_kept_and_stored_ones_read_again(spark, clean, tmp_path):
+    stored = read_flights_parquet(spark, write_parquet(clean, str(tmp_path / "stored")))
+    assert session.is_plain_scan(stored.select("ARR_DELAY").where("ARR_DELAY > 0"))
+    assert not session.is_plain_scan(stored.groupBy("ROUTE").count())

@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from . import vectors as V
 from .arrow import checkpointed
 
-CENTROIDS = 24
+CENTROIDS = 64
 SAMPLE = 20_000
-VISIT = 0.30
+VISIT = 0.5
 BLOCK = 4000
 
 

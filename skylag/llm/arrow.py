@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
-SLICE_BYTES = 32 << 20
+SLICE_BYTES = 8 << 20
 
 
 def lean(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
@@ -37,6 +37,7 @@ def sliced(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             before = total[start - 1] if start else 0
             end = max(start + 1, int(np.searchsorted(total, before + limit, "right")))
             yield batch.slice(start, end - start)
+            pa.default_memory_pool().release_unused()
             start = end
 
 

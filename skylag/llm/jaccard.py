@@ -2,9 +2,9 @@
 
 Equal sets are one set. A set's n-grams have one global order, rare ones first,
 and two sets that are similar enough share an n-gram among the first few of
-each (the prefix). Among the sets that hold a prefix n-gram, the least is its
-leader, and every set goes, once, to the home of each of its leaders, where all
-candidate pairs of that list meet.
+each (the prefix). An index list holds the sets of like size with one prefix
+n-gram; the least of them is its leader, and every set goes, once, to the home
+of each of its leaders, where all candidate pairs of those lists meet.
 
 In a home, index lists are ordered by the place of the n-gram in its set and
 are left where the place is too late for any pair to reach the threshold. Sets
@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .arrow import Words, checkpointed, hashes, lean, mixed, per_text, rolling, words_of
 from .components import components
 
@@ -119,18 +120,38 @@ def _prefixes(values: np.ndarray, bounds: np.ndarray, order: Order, percent: int
     return values[keep], owner[keep], place[keep]
 
 
+def size_class(size: np.ndarray) -> np.ndarray:
+    """Classes of sizes, each a quarter wide, so that a set and its least partner are in the same or the next one."""
+    return np.floor(np.log(np.maximum(size, 1)) / np.log(1.25)).astype(np.int64)
+
+
 def _postings(texts: DataFrame, width: int, percent: int, frequent: np.ndarray) -> DataFrame:
+    """Index entries: list, set key and whether the set may be the smaller one of a pair in that list.
+
+    A list is an n-gram for one class of sizes, that of the smaller set. A set
+    enters the lists of its own class and of its least partner's. The smaller
+    set of a pair has a common n-gram among fewer of its first than the larger.
+    """
+
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
         values, bounds = shingle_sets(words_of(part.column("text"), lower=True), width)
         key, _ = _set_keys(values, bounds)
         _, first = np.unique(key, return_index=True)
-        gram, owner, _ = _prefixes(values, bounds, Order(frequent), percent)
+        gram, owner, place = _prefixes(values, bounds, Order(frequent), percent)
         fresh = np.zeros(len(key), bool)
         fresh[first] = True
-        gram, owner = gram[fresh[owner]], owner[fresh[owner]]
-        return pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(key[owner])], names=["gram", "k1"])
+        fresh = fresh[owner]
+        gram, owner, place = gram[fresh], owner[fresh], place[fresh]
+        size = np.diff(bounds)[owner]
+        mine, below = size_class(size), size_class(-(-percent * size // 100))
+        small = place < size - _least_overlap(2 * size, percent) + 1
+        other = np.flatnonzero(below < mine)
+        grams, classes = np.concatenate([gram, gram[other]]), np.concatenate([mine, below[other]]).astype(np.uint64)
+        lists = mixed(grams + mixed(classes))
+        keys, small = np.concatenate([key[owner], key[owner[other]]]), np.concatenate([small, np.zeros(len(other), bool)])
+        return pa.RecordBatch.from_arrays([pa.array(lists.view(np.int64)), pa.array(keys), pa.array(small)], names=["list", "k1", "small"])
 
-    return texts.mapInArrow(per_text(run), "gram long, k1 long")
+    return texts.mapInArrow(per_text(run), "list long, k1 long, small boolean")
 
 
 def home_links(ids: np.ndarray, leaders: np.ndarray, texts: pa.Array, stray: np.ndarray, width: int, percent: int, frequent: np.ndarray):
@@ -286,9 +307,10 @@ def near_duplicates(
     frequent = np.array([r[0] for r in often.select("id").collect()], np.int64).view(np.uint64)
 
     reps = sets.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
-    postings = _postings(texts, width, percent, frequent)
-    leaders = postings.groupBy("gram").agg(F.min("k1").alias("leader"), F.max("k1").alias("last")).where("leader < last")
-    homes = checkpointed(postings.join(leaders.select("gram", "leader"), "gram").select("k1", "leader").distinct())
+    postings = materialise(_postings(texts, width, percent, frequent), "index-lists")
+    held = postings.groupBy("list").agg(F.min("k1").alias("leader"), F.max("k1").alias("last"), F.max("small").alias("small"))
+    leaders = held.where("leader < last AND small").select("list", "leader")
+    homes = checkpointed(postings.select("list", "k1").join(leaders, "list").select("k1", "leader").distinct())
     counted = homes.groupBy("leader").agg(F.count(F.lit(1)).alias("n")).select("leader", F.ceil(F.col("n") / block).cast("long").alias("blocks"))
     groups = max(1, -(-homes.count() // group_sets))
 

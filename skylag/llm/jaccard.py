@@ -6,6 +6,9 @@ each (the prefix). An index list holds the sets of like size with one prefix
 n-gram; the least of them is its leader, and every set goes, once, to the home
 of each of its leaders, where all candidate pairs of those lists meet.
 
+Sketches first rule out, by a lower bound on the difference, the sets that no
+other set of the home comes near; only the rest are sent with their texts.
+
 In a home, index lists are ordered by the place of the n-gram in its set and
 are left where the place is too late for any pair to reach the threshold. Sets
 that are already in one class are not compared. A set that differs little from
@@ -71,6 +74,31 @@ def _set_keys(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     return pairs[:, 0], pairs[:, 1]
 
 
+def sketch_of(values: np.ndarray) -> bytes:
+    """One byte for each of about n / 4 buckets, the sum without carry of its members' hashes.
+
+    Two sets differ in at least as many members as their sketches differ in
+    buckets. A sketch folds to any smaller power of two.
+    """
+    buckets = 1 << max(3, int(len(values) - 1).bit_length() - 1) if len(values) else 8
+    spread = mixed(values ^ np.uint64(0x5EED))
+    place, mark = (spread & np.uint64(buckets - 1)).astype(np.int64), (spread >> np.uint64(56)).astype(np.uint8) | 1
+    order = np.argsort(place, kind="stable")
+    out = np.zeros(buckets, np.uint8)
+    held = place[order]
+    heads = np.flatnonzero(np.append(True, held[1:] != held[:-1])) if len(held) else np.empty(0, np.int64)
+    if len(heads):
+        out[held[heads]] = np.bitwise_xor.reduceat(mark[order], heads)
+    return out.tobytes()
+
+
+def _folded(sketch: bytes, buckets: int) -> np.ndarray:
+    out = np.frombuffer(sketch, np.uint8)
+    while len(out) > buckets:
+        out = out[: len(out) // 2] ^ out[len(out) // 2 :]
+    return out
+
+
 def _sets(texts: DataFrame, width: int) -> DataFrame:
     """Two kinds of rows in one pass: a text's set key and size (kind 0), and n-grams frequent in a slice (kind 1)."""
 
@@ -84,11 +112,13 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
         zeros = np.zeros(len(grams), np.int64)
         kind = np.concatenate([np.zeros(len(ids), np.int32), np.ones(len(grams), np.int32)])
         columns = [(ids, grams), (first, zeros), (second, zeros), (np.diff(bounds), counts)]
+        sketches = [sketch_of(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(kind), *[pa.array(np.concatenate(c).astype(np.int64)) for c in columns]], names=["kind", "id", "k1", "k2", "n"]
+            [pa.array(kind), *[pa.array(np.concatenate(c).astype(np.int64)) for c in columns], pa.array(sketches + [None] * len(grams), pa.binary())],
+            names=["kind", "id", "k1", "k2", "n", "sketch"],
         )
 
-    return texts.mapInArrow(per_text(run), "kind int, id long, k1 long, k2 long, n long")
+    return texts.mapInArrow(per_text(run), "kind int, id long, k1 long, k2 long, n long, sketch binary")
 
 
 def _least_overlap(total, percent: int):
@@ -257,6 +287,32 @@ def home_links(ids: np.ndarray, leaders: np.ndarray, texts: pa.Array, stray: np.
     return links, out
 
 
+def _possible(members: DataFrame, groups: int, percent: int) -> DataFrame:
+    """Members (doc_id, leader) that their sketches do not keep apart from every other set of the home."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("leader", "ascending"), ("doc_id", "ascending")])
+        leader, size = table.column("leader").to_numpy(), table.column("n").to_numpy()
+        sketches = table.column("sketch").to_pylist()
+        new = np.flatnonzero(np.append(True, leader[1:] != leader[:-1]))
+        keep = np.zeros(len(leader), bool)
+        for a, b in zip(new.tolist(), [*new[1:].tolist(), len(leader)], strict=True):
+            own, buckets = size[a:b], min(map(len, sketches[a:b]))
+            marks = np.stack([_folded(x, buckets) for x in sketches[a:b]])
+            for i in range(b - a - 1):
+                total = own[i] + own[i + 1 :]
+                least = _least_overlap(total, percent)
+                apart = (marks[i + 1 :] != marks[i]).sum(axis=1)
+                near = (apart <= total - 2 * least) & (least <= np.minimum(own[i], own[i + 1 :]))
+                if near.any():
+                    keep[a + i] = True
+                    keep[a + i + 1 : b] |= near
+        return table.select(["doc_id", "leader", "is_leader"]).filter(pa.array(keep))
+
+    dealt = members.withColumn("part", F.pmod(F.xxhash64("leader"), F.lit(groups)))
+    return dealt.groupBy("part").applyInArrow(run, "doc_id long, leader long, is_leader boolean")
+
+
 def _homes(members: DataFrame, groups: int, width: int, percent: int, frequent: np.ndarray, want_strays: bool) -> DataFrame:
     """Rows (a, b) of links; with ``want_strays`` also rows (leader, set) of kind 1 for sets not linked to the leader of a blocked home."""
 
@@ -303,6 +359,7 @@ def near_duplicates(
     texts = lean(df, id_col, text_col).where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
     scanned = checkpointed(_sets(texts, width))
     sets = scanned.where("kind = 0").select(F.col("id").alias("doc_id"), "k1", "k2", "n")
+    sketches = scanned.where("kind = 0 AND n > 0").groupBy("k1", "k2").agg(F.min("id").alias("doc_id"), F.first("n").alias("n"), F.min("sketch").alias("sketch"))
     often = scanned.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").limit(FREQUENT_KEPT)
     frequent = np.array([r[0] for r in often.select("id").collect()], np.int64).view(np.uint64)
 
@@ -311,11 +368,15 @@ def near_duplicates(
     held = postings.groupBy("list").agg(F.min("k1").alias("leader"), F.max("k1").alias("last"), F.max("small").alias("small"))
     leaders = held.where("leader < last AND small").select("list", "leader")
     homes = checkpointed(postings.select("list", "k1").join(leaders, "list").select("k1", "leader").distinct())
-    counted = homes.groupBy("leader").agg(F.count(F.lit(1)).alias("n")).select("leader", F.ceil(F.col("n") / block).cast("long").alias("blocks"))
     groups = max(1, -(-homes.count() // group_sets))
-
-    placed = homes.join(counted, "leader").join(reps, "k1")
-    placed = placed.select(F.col("rep").alias("doc_id"), "leader", "blocks", (F.col("k1") == F.col("leader")).alias("is_leader"))
+    sizes = homes.groupBy("leader").agg(F.count(F.lit(1)).alias("here"))
+    members = homes.join(sizes, "leader").join(sketches, "k1")
+    members = members.select("doc_id", "leader", "n", "sketch", "here", (F.col("k1") == F.col("leader")).alias("is_leader"))
+    small = _possible(members.where(F.col("here") <= block), groups, percent)
+    large = members.where(F.col("here") > block).select("doc_id", "leader", "is_leader")
+    left = checkpointed(small.union(large))
+    counted = left.groupBy("leader").agg(F.count(F.lit(1)).alias("n")).select("leader", F.ceil(F.col("n") / block).cast("long").alias("blocks"))
+    placed = left.join(counted, "leader")
 
     def shipped(rows: DataFrame) -> DataFrame:
         """Members with their texts: ``rows`` has doc_id, leader, block, blocks, is_leader, stray."""

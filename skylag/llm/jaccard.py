@@ -35,6 +35,7 @@ PERCENT = 90
 BLOCK = 2000
 GROUP_SETS = 3000
 FREQUENT_KEPT = 200_000
+SLOTS = 1 << 20
 
 
 def shingle_sets(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -382,7 +383,10 @@ def near_duplicates(
         """Members with their texts: ``rows`` has doc_id, leader, block, blocks, is_leader, stray."""
         place = F.struct("leader", "block", "blocks", "is_leader", "stray")
         per_doc = rows.groupBy("doc_id").agg(F.collect_list(place).alias("places")).hint("shuffle_hash")
-        once = texts.join(per_doc, "doc_id")
+        # at most SLOTS rows are broadcast: texts whose identifier falls on none of them need not be shuffled
+        slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
+        taken = rows.select(slot.alias("slot")).distinct()
+        once = texts.withColumn("slot", slot).join(F.broadcast(taken), "slot", "left_semi").drop("slot").join(per_doc, "doc_id")
         return once.select("doc_id", "text", F.explode("places").alias("p")).select("doc_id", "text", "p.*")
 
     hashed = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))

@@ -383,7 +383,7 @@ SELECT i, lam, x / s AS x, y / s AS y, z / s AS z FROM (
 )"""
 _SCORES = """scores AS (
 SELECT zs.*, za * p.x + zd * p.y + ze * p.z AS PC1, za * s.x + zd * s.y + ze * s.z AS PC2
-FROM (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY md5(FLIGHT_ID || '|42'), FLIGHT_ID) AS rn FROM zs) WHERE rn <= 100000) zs
+FROM zs
 CROSS JOIN (SELECT * FROM unit WHERE i = 1) p CROSS JOIN (SELECT * FROM unit WHERE i = 2) s
 )"""
 _VIEWS = (
@@ -403,7 +403,15 @@ LEFT JOIN state_codes os ON s.ORIGIN_STATE = os.v LEFT JOIN state_codes ds ON s.
 LEFT JOIN route_codes r ON s.canon = r.v"""
 _ZSCORES = ", ".join(f"round((s.{c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END, 6) AS {c}" for c in SCALED)
 
-ROUTE_FLOOR, CITY_FLOOR, AIRLINE_FLOOR, CAPPED = 100, 500, 1000, 20_000
+ROUTE_FLOOR, CITY_FLOOR, AIRLINE_FLOOR, CAPPED = 230, 2000, 3200, 20_000
+
+
+_KNN = (
+    "WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings) "
+    "SELECT src, dst, CAST(rn AS INTEGER) AS rank, round(d, 6) AS distance FROM ("
+    "SELECT src, dst, d, row_number() OVER (PARTITION BY src ORDER BY d, dst) AS rn FROM ("
+    "SELECT a.vec_id AS src, b.vec_id AS dst, list_distance(a.v, b.v) AS d FROM e a JOIN e b ON a.vec_id <> b.vec_id)) WHERE rn <= 15"
+)
 
 
 def _event_box() -> str:
@@ -588,6 +596,11 @@ def oracle_sql() -> dict[str, str]:
             "SELECT FLIGHT_ID, ARR_DELAY FROM (SELECT *, row_number() OVER (PARTITION BY ARR_DELAY = 0 ORDER BY md5(FLIGHT_ID || '|48'), FLIGHT_ID) AS rn, "
             "count(*) FILTER (WHERE ARR_DELAY <> 0) OVER () AS other FROM clean) WHERE ARR_DELAY <> 0 OR rn <= other"
         ),
+        "balanced_minor": on_clean(
+            "SELECT FLIGHT_ID, d AS ARR_DELAY FROM (SELECT *, row_number() OVER (PARTITION BY d = 0 ORDER BY md5(FLIGHT_ID || '|48'), FLIGHT_ID) AS rn, "
+            "count(*) FILTER (WHERE d <> 0) OVER () AS other "
+            "FROM (SELECT FLIGHT_ID, CASE WHEN ARR_DELAY <= 15 THEN 0 ELSE ARR_DELAY END AS d FROM clean)) WHERE d <> 0 OR rn <= other"
+        ),
         "capped_sample": on_clean(
             "SELECT FLIGHT_ID FROM (SELECT FLIGHT_ID, row_number() OVER (ORDER BY md5(FLIGHT_ID || '|42'), FLIGHT_ID) AS rn FROM clean) "
             f"WHERE rn <= {CAPPED}"
@@ -619,12 +632,8 @@ def oracle_sql() -> dict[str, str]:
             _PCA,
             _SCORES,
         ),
-        "knn_graph": (
-            "WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings) "
-            "SELECT src, dst, CAST(rn AS INTEGER) AS rank, round(d, 6) AS distance FROM ("
-            "SELECT src, dst, d, row_number() OVER (PARTITION BY src ORDER BY d, dst) AS rn FROM ("
-            "SELECT a.vec_id AS src, b.vec_id AS dst, list_distance(a.v, b.v) AS d FROM e a JOIN e b ON a.vec_id <> b.vec_id)) WHERE rn <= 15"
-        ),
+        "knn_graph": _KNN,
+        "knn_blocks": _KNN,
         "clean_pipeline": on_clean(f"SELECT {exact}, {real} FROM clean"),
         "model_matrix": _with(
             6,

@@ -30,7 +30,7 @@ from ..sources.files import read_flights_csv, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-ROUTE_FLOOR, CITY_FLOOR, AIRLINE_FLOOR, CAPPED = 100, 500, 1000, 20_000
+ROUTE_FLOOR, CITY_FLOOR, AIRLINE_FLOOR, CAPPED = 230, 2000, 3200, 20_000
 CLOCK = ("CRS_DEP_TIME_sin", "CRS_DEP_TIME_cos", "CRS_ARR_TIME_sin", "CRS_ARR_TIME_cos")
 CATEGORIES = ("ORIGIN_CITY", "DEST_CITY", "ORIGIN_STATE", "DEST_STATE", "ROUTE")
 SCALED = ("DISTANCE", "CRS_ELAPSED_TIME", "AVG_SPEED", "DEP_HOUR", "ARR_HOUR")
@@ -148,12 +148,12 @@ def _pca_loadings(df: DataFrame) -> DataFrame:
 
 def _pca_scores(df: DataFrame) -> DataFrame:
     scored = _standard_scores(df)
-    return _shape(G.score_sample(scored, G.fit_components(scored)), "FLIGHT_ID", PC1=6, PC2=6)
+    return _shape(G.component_scores(scored, G.fit_components(scored)), "FLIGHT_ID", PC1=6, PC2=6)
 
 
 def _pca_by_label(df: DataFrame) -> DataFrame:
     scored = _standard_scores(df)
-    return _rounded(G.label_summary(G.score_sample(scored, G.fit_components(scored))))
+    return _rounded(G.label_summary(G.component_scores(scored, G.fit_components(scored))))
 
 
 def _pca_train(df: DataFrame) -> DataFrame:
@@ -166,9 +166,20 @@ def _knn_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(knn_graph(star.table(spark, folder, "embeddings"), "vec_id", "embedding"))
 
 
+def _knn_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """The same graph through many small blocks, so that routing, chunks and merging all run."""
+    rows = star.table(spark, folder, "embeddings")
+    return _rounded(knn_graph(rows, "vec_id", "embedding", block_rows=64, chunk_rows=64))
+
+
+def _minor_as_zero(df: DataFrame) -> DataFrame:
+    """Delays of up to a quarter of an hour count as none, so zeros outnumber the rest."""
+    return S.balance_by_delay(df.withColumn("ARR_DELAY", F.when(F.col("ARR_DELAY") <= 15, 0.0).otherwise(F.col("ARR_DELAY"))))
+
+
 def _knn_flights(df: DataFrame) -> DataFrame:
     """Neighbour graph of the training features, on the customary capped sample."""
-    sample = S.capped_sample(model_matrix(df).train)
+    sample = S.capped_sample(model_matrix(df).train, max_rows=100_000)
     return _rounded(knn_graph(sample, "FLIGHT_ID", list(NEIGHBOUR_FEATURES)))
 
 
@@ -291,6 +302,7 @@ def queries() -> dict[str, Query]:
         "encode_test": _stored(_encode_test, "FLIGHT_ID", *CATEGORIES),
         "scale_numeric": _stored(_scale, "FLIGHT_ID", *SCALED),
         "balanced_sample": _stored(S.balance_by_delay, "FLIGHT_ID", "ARR_DELAY"),
+        "balanced_minor": _stored(_minor_as_zero, "FLIGHT_ID", "ARR_DELAY"),
         "capped_sample": _stored(lambda df: S.capped_sample(df, max_rows=CAPPED), "FLIGHT_ID"),
         # statistical tests
         "welch_weekend": _test(H.welch_weekend),
@@ -307,6 +319,7 @@ def queries() -> dict[str, Query]:
         "pca_by_label": _stored(_pca_by_label, "FLIGHT_ID", *COMPONENT_DEFAULTS, *G.LABEL_VIEWS.values()),
         "pca_train_features": _stored(_pca_train),
         "knn_graph": _knn_embeddings,
+        "knn_blocks": _knn_blocks,
         "knn_flights": _stored(_knn_flights),
         # pipelines
         "clean_pipeline": _clean(lambda df: _shape(df, *[c for c, t in df.dtypes if c not in (*CLOCK, "AVG_SPEED")], **dict.fromkeys((*CLOCK, "AVG_SPEED"), 6))),

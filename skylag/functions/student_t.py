@@ -9,6 +9,7 @@ before pi/2, so the upper end is pulled in to keep the points where it lives.
 from __future__ import annotations
 
 import math
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -43,8 +44,29 @@ def greater_p(t: Column, df: Column) -> Column:
     return F.when(t > 0, half).otherwise(F.lit(1.0) - half)
 
 
+def _tail(t: float, df: int) -> float:
+    """P(|T| > t) by Simpson's rule, as in two_sided_p."""
+    start, end = math.atan(t / math.sqrt(df)), math.pi / 2
+
+    def area(low: float) -> float:
+        step = (end - low) / _PANELS
+        return step / 3 * sum((1 if i in (0, _PANELS) else 4 if i % 2 else 2) * math.cos(low + step * i) ** (df - 1) for i in range(_PANELS + 1))
+
+    return area(start) / area(0.0)
+
+
+@cache
+def _few(df: int) -> float:
+    """97.5 % point of t for few degrees of freedom, by halving."""
+    low, high = 1.9, 13.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if _tail(middle, df) > 0.05 else (low, middle)
+    return (low + high) / 2
+
+
 def upper_critical(df: Column) -> Column:
-    """97.5 % point of t by its series around the normal quantile."""
+    """97.5 % point of t: solved for up to 30 degrees of freedom, beyond by its series around the normal quantile."""
     z = 1.959963984540054  # fixed value: 97.5 % point of the standard normal
     terms = (
         (z**3 + z) / 4,
@@ -54,4 +76,5 @@ def upper_critical(df: Column) -> Column:
     total = F.lit(z)
     for power, term in enumerate(terms, start=1):
         total = total + F.lit(term) / F.pow(df, F.lit(float(power)))
-    return total
+    points = F.array(*[F.lit(_few(k)) for k in range(1, 31)])
+    return F.when(df.between(1, 30), F.try_element_at(points, F.floor(df).cast("int"))).otherwise(total)

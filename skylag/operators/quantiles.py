@@ -12,15 +12,15 @@ open intervals hold few values in total, those are counted one by one.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import is_plain_scan
+from ..session import materialise
 
 BUCKETS = 2048
 COUNT_SINGLY = 20_000
@@ -119,6 +119,26 @@ def _settle(open_: list[_Open], rows: list[Row], found: dict) -> list[_Open]:
     return still_open
 
 
+def _bucket(value: Column, low: Column, high: Column, buckets: int, by_size: bool) -> Column:
+    """Bucket of a value in its interval, rising with the value.
+
+    Plain widths and widths of the values' logarithms take turns, so neither a
+    few far values nor values of very different sizes make the passes many.
+    Halves keep the width of any two doubles finite; infinities have buckets of
+    their own.
+    """
+    largest = F.lit(sys.float_info.max)
+
+    def place(x: Column) -> Column:
+        x = F.greatest(F.least(x, largest), -largest)
+        return F.signum(x) * F.log1p(F.abs(x)) if by_size else x / 2
+
+    width = place(high) - place(low)
+    scaled = F.floor((place(value) - place(low)) / width * F.lit(float(buckets))).cast("double")
+    inner = F.coalesce(F.greatest(F.least(scaled, F.lit(float(buckets - 1))), F.lit(0.0)), F.lit(0.0))
+    return F.when(value == float("inf"), float(buckets)).when(value == float("-inf"), -1.0).otherwise(inner)
+
+
 def _ranks(probability: float, count: int) -> tuple[int, int, float]:
     position = probability * (count - 1)
     low = math.floor(position)
@@ -136,50 +156,44 @@ def summarise(
     """Count, mean, sample deviation, extremes and linear-interpolated quantiles.
 
     ``by`` must be a column of few values (season, weekday): one summary per
-    group and column comes back to the driver. The needed columns of a derived
-    table are kept for the passes; those of a stored table are read again.
+    group and column comes back to the driver. The needed columns are stored once
+    in the shared folder for the passes.
     """
     keep = [by, *columns] if by else list(columns)
     narrow = df.select(*keep)
-    cached = not is_plain_scan(narrow)
-    if cached:
-        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        long = _melt(narrow, columns, by)
-        value = F.col("_value")
-        totals = collect_groups(
-            long.groupBy("_group", "_column")
-            .agg(
-                F.count(value).alias("n"),
-                F.avg(value).alias("mean"),
-                F.stddev_samp(value).alias("std"),
-                F.min(value).alias("low"),
-                F.max(value).alias("high"),
-            )
+    narrow = materialise(narrow, "columns")
+    long = _melt(narrow, columns, by)
+    value = F.col("_value")
+    totals = collect_groups(
+        long.groupBy("_group", "_column")
+        .agg(
+            F.count(value).alias("n"),
+            F.avg(value).alias("mean"),
+            F.stddev_samp(value).alias("std"),
+            F.min(value).alias("low"),
+            F.max(value).alias("high"),
+        )
+    )
+    found: dict = {}
+    open_ = []
+    for t in totals:
+        ranks = {r for p in probabilities for r in _ranks(p, t["n"])[:2]}
+        whole = _Open(t["_group"], t["_column"], t["low"], t["high"], 0, t["n"], ranks)
+        if t["low"] == t["high"]:
+            found.update({(whole.group, whole.column, r): t["low"] for r in ranks})
+        else:
+            open_.append(whole)
+    turn = 0
+    while open_:
+        few = sum(o.count for o in open_) <= count_singly
+        bucket = value if few else _bucket(value, F.col("i_low"), F.col("i_high"), buckets, turn % 2 == 1)
+        turn += 1
+        counted = (
+            _inside(long, open_)
+            .groupBy("interval", bucket.alias("bucket"))
+            .agg(F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
         )
-        found: dict = {}
-        open_ = []
-        for t in totals:
-            ranks = {r for p in probabilities for r in _ranks(p, t["n"])[:2]}
-            whole = _Open(t["_group"], t["_column"], t["low"], t["high"], 0, t["n"], ranks)
-            if t["low"] == t["high"]:
-                found.update({(whole.group, whole.column, r): t["low"] for r in ranks})
-            else:
-                open_.append(whole)
-        while open_:
-            width = F.col("i_high") - F.col("i_low")
-            scaled = F.floor((value - F.col("i_low")) / width * F.lit(float(buckets)))
-            few = sum(o.count for o in open_) <= count_singly
-            bucket = value if few else F.least(scaled.cast("double"), F.lit(float(buckets - 1)))
-            counted = (
-                _inside(long, open_)
-                .groupBy("interval", bucket.alias("bucket"))
-                .agg(F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
-            )
-            open_ = _settle(open_, counted.collect(), found)
-    finally:
-        if cached:
-            narrow.unpersist()
+        open_ = _settle(open_, counted.collect(), found)
 
     out = []
     for t in sorted(totals, key=lambda r: (str(r["_group"]), r["_column"])):
@@ -187,7 +201,7 @@ def summarise(
         for p in probabilities:
             low, high, share = _ranks(p, t["n"])
             a, b = found[t["_group"], t["_column"], low], found[t["_group"], t["_column"], high]
-            quantiles.append(a + (b - a) * share)
+            quantiles.append(a if a == b or share == 0 else a + (b - a) * share)
         out.append(
             ColumnSummary(t["_group"], t["_column"], t["n"], t["mean"], t["std"], t["low"], t["high"], quantiles)
         )

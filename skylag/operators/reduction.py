@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from ..functions.columns import label_view
 from ..schema import COMPONENT_DEFAULTS, complete, present, require
 from .relations import centres
-from .sampling import capped_sample
 
 # Columns whose values colour the component views.
 LABEL_VIEWS = {
@@ -106,13 +105,6 @@ def component_scores(df: DataFrame, fitted: Components, components: int = 2) ->
     return complete(df, fitted.columns).withColumns(scores)
 
 
-def score_sample(
-    df: DataFrame, fitted: Components, id_column: str = "FLIGHT_ID", max_rows: int = 100_000, seed: int = 42
-) -> DataFrame:
-    """First two scores of a capped sample."""
-    return component_scores(capped_sample(df, id_column, max_rows, seed), fitted)
-
-
 def labelled_scores(scores: DataFrame, column: str, mode: str) -> DataFrame:
     """Score points with a label as delay category, plain category or number."""
     require(scores, ["PC1", "PC2", column])

@@ -36,6 +36,7 @@ def run(
     floors: Floors = Floors(),
     balanced: bool = False,
     neighbours: bool = True,
+    neighbour_rows: int | None = None,
     export_csv: bool = False,
 ) -> DataFrame:
     """Write all results below ``folder``; returns ``(table_name, rows)``."""
@@ -62,11 +63,11 @@ def run(
     fitted = G.fit_components(train, present(train, COMPONENT_FEATURES))
     store("component_variance", G.variance_table(train, fitted))
     store("component_loadings", G.loading_table(train, fitted))
-    store("component_scores", G.score_sample(train, fitted))
+    store("component_scores", G.component_scores(train, fitted))
     store("component_labels", G.label_summary(spark.read.parquet(f"{folder}/component_scores")))
     if neighbours:
-        sample = capped_sample(train)
-        store("neighbours", knn_graph(sample, "FLIGHT_ID", present(train, NEIGHBOUR_FEATURES)))
+        rows = train if neighbour_rows is None else capped_sample(train, max_rows=neighbour_rows)
+        store("neighbours", knn_graph(rows, "FLIGHT_ID", present(train, NEIGHBOUR_FEATURES)))
     store("hypothesis_tests", run_all_tests(clean))
     counts = [
         spark.read.parquet(f"{folder}/{name}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
@@ -83,6 +84,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--time-encoding", choices=("hhmm", "minutes"), default="hhmm")
     parser.add_argument("--balanced", action="store_true")
     parser.add_argument("--no-neighbours", action="store_true")
+    parser.add_argument("--neighbour-rows", type=int, help="search a sample of so many rows; all rows if not given")
     parser.add_argument("--export-csv", action="store_true")
     options = parser.parse_args(argv)
     spark = SparkSession.builder.appName("skylag").getOrCreate()
@@ -92,6 +94,7 @@ def main(argv: list[str] | None = None) -> None:
         options.time_encoding,
         balanced=options.balanced,
         neighbours=not options.no_neighbours,
+        neighbour_rows=options.neighbour_rows,
         export_csv=options.export_csv,
     )
     index.orderBy("table_name").show(100, truncate=False)

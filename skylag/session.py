@@ -33,11 +33,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
     The cluster names it in ``spark.checkpoint.dir``. Only when that setting
-    and the context's own checkpoint folder are both unset (tests, laptops)
-    a fresh local folder is chosen.
+    and the context's own checkpoint folder are both unset and all runs in one
+    process (tests, laptops) a fresh local folder is chosen; a cluster without
+    a shared folder is refused, for its executors see only their own disks.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    if named is None and context.getCheckpointDir() is None and not context.master.startswith("local["):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="skylag-ckpt-"))
     return named or context.getCheckpointDir()
@@ -54,25 +57,6 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate; for a scan it follows from the files read.
-
-    None where the session gives no access to its plans (remote clients).
-    """
-    handle = getattr(df, "_jdf", None)
-    return None if handle is None else int(str(handle.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def is_plain_scan(df: DataFrame) -> bool:
-    """Whether reading the rows again needs no shuffle or broadcast.
-
-    Such a table is cheaper to scan once more, a few columns at a time, than
-    to copy into the executors' storage.
-    """
-    handle = getattr(df, "_jdf", None)
-    return handle is not None and "Exchange" not in handle.queryExecution().executedPlan().toString()
-
-
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder once and read it from there.
 
@@ -83,21 +67,3 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-SMALL_SCAN_BYTES = 256 << 20
-
-
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Give every core a share of a small scan that arrives in few files.
-
-    Tables above the size bound, or in at least as many files as there are
-    cores, keep the splits of their scan: no shuffle is added to large data.
-    """
-    size = estimated_bytes(df)
-    if size is None or size > SMALL_SCAN_BYTES:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores, *keys)

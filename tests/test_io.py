@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import datetime as dt
 
 import pytest
@@ -10,7 +12,6 @@ from skylag.operators.encoding import fit_codes
 from skylag.plans import job
 from skylag.plans.cleaning import clean_flights
 from skylag.plans.report import Floors, report_tables, write_report
-from skylag import session
 from skylag.session import cut_lineage, materialise, shared_dir
 from skylag.sources.files import read_flights_csv, read_flights_parquet, read_with_row_id, write_csv, write_parquet
 from skylag.sources.star import table
@@ -107,17 +108,7 @@ def test_shared_folder(spark):
     assert materialise(df, "t").count() == 5
 
 
-def test_only_small_scans_are_spread(spark, monkeypatch):
-    orders = table(spark, SMALL, "orders")
-    cores = spark.sparkContext.defaultParallelism
-    assert 0 < session.estimated_bytes(orders) < session.SMALL_SCAN_BYTES
-    assert session.spread_small(orders).rdd.getNumPartitions() == cores
-    assert session.spread_small(session.spread_small(orders), "o_orderkey").count() == orders.count()
-    monkeypatch.setattr(session, "SMALL_SCAN_BYTES", 10)
-    assert session.spread_small(orders) is orders
-
-
-def test_derived_tables_are_kept_and_stored_ones_read_again(spark, clean, tmp_path):
-    stored = read_flights_parquet(spark, write_parquet(clean, str(tmp_path / "stored")))
-    assert session.is_plain_scan(stored.select("ARR_DELAY").where("ARR_DELAY > 0"))
-    assert not session.is_plain_scan(stored.groupBy("ROUTE").count())
+def test_a_cluster_needs_a_shared_folder():
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(conf={}, sparkContext=context))

@@ -114,9 +114,10 @@ def test_small_dictionaries_are_broadcast(clean):
     assert text.count("BroadcastHashJoin") >= 5 and "SortMergeJoin" not in text
 
 
-def test_encoding_needs_a_column(spark):
-    with pytest.raises(ValueError):
-        E.fit_codes(spark.range(3))
+def test_a_table_without_categories_is_left_alone(spark):
+    rows = spark.range(3)
+    lexicon = E.fit_codes(rows)
+    assert lexicon.table.count() == 0 and E.apply_codes(rows, lexicon).collect() == rows.collect()
 
 
 def test_scaler(spark):

@@ -215,6 +215,25 @@ def test_upper_critical(spark):
     assert (row["a"], row["b"]) == pytest.approx((2.042272, 1.962339), abs=1e-5)
 
 
+def test_upper_critical_of_few(spark):
+    # textbook values
+    wanted = {1: 12.706205, 2: 4.302653, 3: 3.182446, 5: 2.570582, 10: 2.228139, 20: 2.085963, 30: 2.042272}
+    row = spark.range(1).select(*[upper_critical(F.lit(k)).alias(str(k)) for k in wanted]).first()
+    assert {k: row[str(k)] for k in wanted} == pytest.approx(wanted, abs=2e-6)
+
+
+@pytest.mark.parametrize("extra", [[float("inf")], [float("-inf")], [1.7e308, -1.7e308], [2.0**k for k in range(-1000, 1000, 7)]])
+def test_quantiles_end_for_any_double(spark, extra):
+    values = [float(i) for i in range(20_001)] + extra
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    (found,) = summarise(df, ["v"], count_singly=50)
+    ordered = sorted(values)
+    for p, q in zip((0.25, 0.5, 0.75), found.quantiles):
+        at = p * (len(ordered) - 1)
+        low = ordered[int(at)]
+        assert q == pytest.approx(low + (ordered[min(int(at) + 1, len(ordered) - 1)] - low) * (at - int(at)))
+
+
 def test_welch_by_hand(spark):
     a, b = [1.0, 2.0, 3.0, 4.0], [2.0, 4.0, 9.0]
     rows = [(1, v) for v in a] + [(0, v) for v in b] + [(1, None)]

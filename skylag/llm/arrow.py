@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 SLICE_BYTES = 8 << 20
+WIDE_SLICE = 24 << 20  # for steps that keep little besides the texts: fewer words are met anew in each slice
 
 
 def lean(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
@@ -109,11 +110,11 @@ def record_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     )
 
 
-def per_text(fn: Callable[[pa.RecordBatch], pa.RecordBatch]):
+def per_text(fn: Callable[[pa.RecordBatch], pa.RecordBatch], limit: int = SLICE_BYTES):
     """Lift a function of one bounded slice to a ``mapInArrow`` function."""
 
     def run(batches):
-        for part in sliced(batches):
+        for part in sliced(batches, limit=limit):
             out = fn(part)
             if out.num_rows:
                 yield out

@@ -20,7 +20,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from .arrow import lean, per_text, ranges
+from .arrow import WIDE_SLICE, lean, per_text, ranges
 
 _LOW = (1 << 64) - 1
 _CACHED = 300_000
@@ -247,5 +247,5 @@ def round_trip(df: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id",
 
     kind = df.schema[id_col].dataType.simpleString()
     return lean(df, id_col, text_col).mapInArrow(
-        per_text(run), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        per_text(run, WIDE_SLICE), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import Words, hashes, ranges, sliced, words_of
+from .arrow import WIDE_SLICE, Words, hashes, ranges, sliced, words_of
 
 BUCKETS = 1 << 40
 PREFIXES = (4, 5)  # beginnings of words, as features of their own
@@ -174,7 +174,7 @@ def grade_texts(df: DataFrame, model: OrdinalModel, text_col: str = "text", keep
     place = kept.index(text_col)
 
     def run(batches):
-        for part in sliced(batches, text_col):
+        for part in sliced(batches, text_col, WIDE_SLICE):
             tails = shared.value.tails(part.column(place).fill_null(""))
             columns = [*part.columns, pa.array(tails.sum(axis=1)), pa.array(tails[:, -1]), pa.array(tails[:, -1] >= keep)]
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, *added])

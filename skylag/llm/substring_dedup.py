@@ -11,9 +11,9 @@ it, are partitioned by prefix. A prefix that occurs seldom is the anchor
 itself, and many such prefixes share a memory-sized group. In a group the
 sorted suffixes with their common lengths stand for the subtree: nodes at the
 depths that complete a window, paired with the same for the words on the left,
-are the repeats. A prefix that occurs often is lengthened to the full window,
-so that all its suffixes end in one node, whose first occurrence is an
-aggregate combined before the shuffle.
+are the repeats. A prefix that occurs often is dealt in chunks; what is first in
+its chunk is lengthened to the full window, so that equal suffixes end in one
+node, whose first occurrence is an aggregate combined before the shuffle.
 """
 
 from __future__ import annotations
@@ -80,7 +80,7 @@ def _anchors(df: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def _contexts(joined: DataFrame, window: int) -> DataFrame:
-    """The words around each anchor: gram, doc_id, at, often, words (array of the words of all its windows)."""
+    """The words around each anchor: gram, doc_id, at, chunks, words (the words of all its windows)."""
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
         words = words_of(part.column("text"))
@@ -88,7 +88,7 @@ def _contexts(joined: DataFrame, window: int) -> DataFrame:
         bounds = found.offsets.to_numpy().astype(np.int64)
         owner = np.repeat(np.arange(part.num_rows), np.diff(bounds))
         flat = found.flatten()
-        gram, at, often = (flat.field(k) for k in range(3))
+        gram, at, chunks = (flat.field(k) for k in range(3))
         packed = at.to_numpy()
         begin = (packed >> 16) - (packed >> 8 & 255)
         length = (packed >> 8 & 255) - (packed & 255) + window
@@ -100,11 +100,11 @@ def _contexts(joined: DataFrame, window: int) -> DataFrame:
         )
         keep = pa.array(fits, pa.bool_())
         return pa.RecordBatch.from_arrays(
-            [gram.filter(keep), part.column("doc_id").take(pa.array(owner)), at.filter(keep), often.filter(keep), pc.binary_join(lists, " ")],
-            names=["gram", "doc_id", "at", "often", "words"],
+            [gram.filter(keep), part.column("doc_id").take(pa.array(owner)), at.filter(keep), chunks.filter(keep), pc.binary_join(lists, " ")],
+            names=["gram", "doc_id", "at", "chunks", "words"],
         )
 
-    return joined.mapInArrow(per_text(run), "gram long, doc_id long, at long, often boolean, words string")
+    return joined.mapInArrow(per_text(run), "gram long, doc_id long, at long, chunks long, words string")
 
 
 def _nodes(matrix: np.ndarray) -> np.ndarray:
@@ -147,15 +147,22 @@ def subtree_repeats(doc: np.ndarray, at: np.ndarray, texts: pa.Array, window: in
     return mask
 
 
-def _rare(contexts: DataFrame, groups: int, window: int, anchor: int) -> DataFrame:
+def _subtrees(contexts: DataFrame, groups: int, window: int, anchor: int) -> DataFrame:
+    """Masks of all suffixes within their group, and the words of those that are first in a chunk of a frequent prefix."""
+
     def run(table: pa.Table) -> pa.Table:
-        doc, at = table.column("doc_id").to_numpy(), table.column("at").to_numpy()
-        mask = subtree_repeats(doc, at, table.column("words").combine_chunks(), window, anchor)
-        hit = mask > 0
-        return pa.table({"doc_id": doc[hit], "place": at[hit] >> 16, "mask": mask[hit]})
+        doc, at, chunks = (table.column(c).to_numpy() for c in ("doc_id", "at", "chunks"))
+        words = table.column("words").combine_chunks()
+        mask = subtree_repeats(doc, at, words, window, anchor)
+        every = (1 << (at >> 8 & 255) + 1) - (1 << (at & 255))
+        first = (chunks > 1) & (mask != every)
+        keep = (mask > 0) | first
+        shown = pc.if_else(pa.array(first), words, pa.scalar(None, pa.string()))
+        return pa.table({"doc_id": doc[keep], "at": at[keep], "mask": mask[keep], "words": shown.filter(pa.array(keep))})
 
-    dealt = contexts.where("NOT often").select(F.pmod("gram", F.lit(groups)).alias("part"), "doc_id", "at", "words")
-    return dealt.groupBy("part").applyInArrow(run, "doc_id long, place long, mask long")
+    chunk = F.pmod(F.xxhash64("doc_id"), F.col("chunks"))
+    dealt = contexts.select(F.pmod(F.xxhash64("gram", chunk), F.lit(groups)).alias("part"), "doc_id", "at", "chunks", "words")
+    return dealt.groupBy("part").applyInArrow(run, "doc_id long, at long, mask long, words string")
 
 
 def _frequent(contexts: DataFrame, window: int) -> DataFrame:
@@ -175,7 +182,7 @@ def _frequent(contexts: DataFrame, window: int) -> DataFrame:
             names=["first", "second", "doc_id", "place"],
         )
 
-    rows = contexts.where("often").select("words", "doc_id", "at")
+    rows = contexts.where("words IS NOT NULL").select("words", "doc_id", "at")
     windows = rows.withColumnRenamed("words", "text").mapInArrow(
         per_text(lambda p: run(p.rename_columns(["words", "doc_id", "at"]))), "first long, second long, doc_id long, place long"
     )
@@ -192,12 +199,14 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW, frequent: int = FRE
     anchor = min(ANCHOR, window)
     anchors = _anchors(texts, window, anchor)
     repeated = checkpointed(anchors.groupBy("gram").count().where("count > 1"))
-    rows = repeated.agg(F.sum(F.when(F.col("count") <= frequent, F.col("count")))).first()[0] or 0
-    found = anchors.join(repeated.select("gram", (F.col("count") > frequent).alias("often")), "gram")
-    per_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "at", "often")).alias("found"))
+    rows = repeated.agg(F.sum("count")).first()[0] or 0
+    found = anchors.join(repeated.select("gram", F.ceil(F.col("count") / frequent).cast("long").alias("chunks")), "gram")
+    per_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "at", "chunks")).alias("found"))
     contexts = _contexts(texts.join(per_doc.hint("shuffle_hash"), "doc_id"), window)
     groups = max(1, -(-rows // group_rows))
-    return _rare(contexts, groups, window, anchor).union(_frequent(contexts, window))
+    trees = _subtrees(contexts, groups, window, anchor)
+    masks = trees.where("mask > 0").select("doc_id", F.shiftright("at", 16).alias("place"), "mask")
+    return masks.union(_frequent(trees, window))
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, **sizes: int) -> DataFrame:

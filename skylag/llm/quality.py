@@ -22,7 +22,7 @@ BUCKETS = 1 << 40
 PREFIXES = (4, 5)  # beginnings of words, as features of their own
 LEAST_TEXTS = 3  # of the sample that a word must stand in to get a weight
 TELLING = 4.0  # standard errors by which its grades must differ from those of all texts
-MAX_TRAIN = 10_000
+MAX_TRAIN = 6_000
 STEPS = 400
 DECAY = 2e-4
 KEEP = 0.5

@@ -28,8 +28,8 @@ from .arrow import Words, checkpointed, hashes, lean, per_text, ranges, rolling,
 
 WINDOW = 20
 ANCHOR = 5
-FREQUENT = 1000
-GROUP_ROWS = 40_000
+GROUP_ROWS = 40_000  # suffixes that are held in memory together
+FREQUENT = GROUP_ROWS // 4  # a prefix with more would crowd a group
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -177,14 +177,17 @@ def _frequent(contexts: DataFrame, window: int) -> DataFrame:
         row = np.repeat(np.arange(len(at)), each)
         start = ranges(words.offsets[:-1], each)
         place = ranges((at >> 16) - (at >> 8 & 255), each)
+        # windows already known to start earlier in the chunk need no second look
+        new = part.column("mask").to_numpy()[row] >> (at[row] >> 16) - place & 1 == 0
+        row, start, place = row[new], start[new], place[new]
         return pa.RecordBatch.from_arrays(
             [pa.array(first[start].astype(np.int64)), pa.array(second[start].astype(np.int64)), part.column("doc_id").take(pa.array(row)), pa.array(place)],
             names=["first", "second", "doc_id", "place"],
         )
 
-    rows = contexts.where("words IS NOT NULL").select("words", "doc_id", "at")
+    rows = contexts.where("words IS NOT NULL").select("words", "doc_id", "at", "mask")
     windows = rows.withColumnRenamed("words", "text").mapInArrow(
-        per_text(lambda p: run(p.rename_columns(["words", "doc_id", "at"]))), "first long, second long, doc_id long, place long"
+        per_text(lambda p: run(p.rename_columns(["words", "doc_id", "at", "mask"]))), "first long, second long, doc_id long, place long"
     )
     earliest = windows.groupBy("first", "second").agg(F.min(F.struct("doc_id", "place")).alias("e"))
     again = windows.join(earliest, ["first", "second"]).where("doc_id <> e.doc_id OR place <> e.place")

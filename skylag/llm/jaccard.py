@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .arrow import Words, checkpointed, hashes, lean, mixed, per_text, rolling, words_of
+from .arrow import Words, checkpointed, hashes, lean, mixed, per_text, ranges, rolling, words_of
 from .components import components
 
-SHINGLE = 3
-PERCENT = 90
+SHINGLE = 5
+PERCENT = 80
 BLOCK = 2000
 GROUP_SETS = 3000
 FREQUENT_KEPT = 200_000
@@ -152,7 +152,7 @@ def _prefixes(values: np.ndarray, bounds: np.ndarray, order: Order, percent: int
 
 
 def size_class(size: np.ndarray) -> np.ndarray:
-    """Classes of sizes, each a quarter wide, so that a set and its least partner are in the same or the next one."""
+    """Classes of sizes, each a quarter wide."""
     return np.floor(np.log(np.maximum(size, 1)) / np.log(1.25)).astype(np.int64)
 
 
@@ -160,7 +160,7 @@ def _postings(texts: DataFrame, width: int, percent: int, frequent: np.ndarray)
     """Index entries: list, set key and whether the set may be the smaller one of a pair in that list.
 
     A list is an n-gram for one class of sizes, that of the smaller set. A set
-    enters the lists of its own class and of its least partner's. The smaller
+    enters the lists of all classes from its least partner's to its own. The smaller
     set of a pair has a common n-gram among fewer of its first than the larger.
     """
 
@@ -176,10 +176,10 @@ def _postings(texts: DataFrame, width: int, percent: int, frequent: np.ndarray)
         size = np.diff(bounds)[owner]
         mine, below = size_class(size), size_class(-(-percent * size // 100))
         small = place < size - _least_overlap(2 * size, percent) + 1
-        other = np.flatnonzero(below < mine)
-        grams, classes = np.concatenate([gram, gram[other]]), np.concatenate([mine, below[other]]).astype(np.uint64)
-        lists = mixed(grams + mixed(classes))
-        keys, small = np.concatenate([key[owner], key[owner[other]]]), np.concatenate([small, np.zeros(len(other), bool)])
+        entry = np.repeat(np.arange(len(gram)), mine - below + 1)
+        classes = ranges(below, mine - below + 1)
+        lists = mixed(gram[entry] + mixed(classes.astype(np.uint64)))
+        keys, small = key[owner][entry], small[entry] & (classes == mine[entry])
         return pa.RecordBatch.from_arrays([pa.array(lists.view(np.int64)), pa.array(keys), pa.array(small)], names=["list", "k1", "small"])
 
     return texts.mapInArrow(per_text(run), "list long, k1 long, small boolean")
@@ -353,7 +353,7 @@ def near_duplicates(
 
     Two texts link when 100 * intersection >= percent * union of their sets of
     distinct ``width``-word n-grams (A-Z lowered). Identifiers are whole
-    numbers; rows without one are left out. A null, empty or wordless text has
+    numbers; rows without one are left out. By default five words and 0.8. A null, empty or wordless text has
     an empty set and no link. Repeated rows link with each other like any equal
     sets. ``block`` bounds the sets compared in one task.
     """

@@ -249,11 +249,11 @@ def test_substrings(docs, rows, empty, sizes):
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
-def near_classes(rows, percent):
+def near_classes(rows, width, percent):
     sets = {}
     for i, text, _ in rows:
         w = WORD.findall(lower(text or ""))
-        sets[i] = {tuple(w[k : k + 3]) for k in range(len(w) - 2)} if len(w) > 2 else {tuple(w)} if w else set()
+        sets[i] = {tuple(w[k : k + width]) for k in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
     parent = {i: i for i in sets}
 
     def root(x):
@@ -269,7 +269,7 @@ def near_classes(rows, percent):
     return {i: (len(s), root(i)) for i, s in sets.items()}
 
 
-@pytest.mark.parametrize("sizes", [{}, {"percent": 70, "block": 8}])
+@pytest.mark.parametrize("sizes", [{}, {"width": 3, "percent": 90}, {"width": 3, "percent": 70, "block": 8}, {"width": 2, "percent": 40}])
 def test_near_duplicates(spark, rows, empty, sizes):
     rng = random.Random(9)
     base = [f"g{rng.randint(0, 200)}" for _ in range(80)]
@@ -282,7 +282,7 @@ def test_near_duplicates(spark, rows, empty, sizes):
     every = rows + more
     df = spark.createDataFrame(every, SCHEMA).repartition(2)
     got = {r["doc_id"]: tuple(r)[1:] for r in jaccard.near_duplicates(df, **sizes).collect()}
-    assert got == near_classes(every, sizes.get("percent", 90))
+    assert got == near_classes(every, sizes.get("width", 5), sizes.get("percent", 80))
     assert jaccard.near_duplicates(empty).count() == 0
 
 

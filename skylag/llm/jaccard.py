@@ -178,6 +178,10 @@ def _postings(texts: DataFrame, width: int, percent: int, frequent: np.ndarray)
         small = place < size - _least_overlap(2 * size, percent) + 1
         entry = np.repeat(np.arange(len(gram)), mine - below + 1)
         classes = ranges(below, mine - below + 1)
+        # the least partner in a list bounds the place of the first common n-gram
+        least = np.maximum(-(-percent * size[entry] // 100), (1.25**classes * (1 - 1e-9)).astype(np.int64))
+        early = place[entry] <= size[entry] - _least_overlap(size[entry] + least, percent)
+        entry, classes = entry[early], classes[early]
         lists = mixed(gram[entry] + mixed(classes.astype(np.uint64)))
         keys, small = key[owner][entry], small[entry] & (classes == mine[entry])
         return pa.RecordBatch.from_arrays([pa.array(lists.view(np.int64)), pa.array(keys), pa.array(small)], names=["list", "k1", "small"])

@@ -3,7 +3,7 @@
 Equal sets are one set. A set's n-grams have one global order, rare ones first,
 and two sets that are similar enough share an n-gram among the first few of
 each (the prefix). An index list holds the sets of like size with one prefix
-n-gram; the least of them is its leader, and every set goes, once, to the home
+n-gram, or with one equal part (``part_lists``); the least of them is its leader, and every set goes, once, to the home
 of each of its leaders, where all candidate pairs of those lists meet.
 
 Sketches first rule out, by a lower bound on the difference, the sets that no
@@ -156,35 +156,70 @@ def size_class(size: np.ndarray) -> np.ndarray:
     return np.floor(np.log(np.maximum(size, 1)) / np.log(1.25)).astype(np.int64)
 
 
-def _postings(texts: DataFrame, width: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """Index entries: list, set key and whether the set may be the smaller one of a pair in that list.
+def prefix_lists(values: np.ndarray, bounds: np.ndarray, order: Order, percent: int):
+    """Rows of (list, set, whether the set may be the smaller one of a pair there), a list for each prefix n-gram.
 
     A list is an n-gram for one class of sizes, that of the smaller set. A set
     enters the lists of all classes from its least partner's to its own. The smaller
     set of a pair has a common n-gram among fewer of its first than the larger.
     """
+    gram, owner, place = _prefixes(values, bounds, order, percent)
+    size = np.diff(bounds)[owner]
+    mine, below = size_class(size), size_class(-(-percent * size // 100))
+    small = place < size - _least_overlap(2 * size, percent) + 1
+    entry = np.repeat(np.arange(len(gram)), mine - below + 1)
+    classes = ranges(below, mine - below + 1)
+    # the least partner in a list bounds the place of the first common n-gram
+    least = np.maximum(-(-percent * size[entry] // 100), (1.25**classes * (1 - 1e-9)).astype(np.int64))
+    early = place[entry] <= size[entry] - _least_overlap(size[entry] + least, percent)
+    entry, classes = entry[early], classes[early]
+    lists = mixed(gram[entry] + mixed(classes.astype(np.uint64)))
+    return lists, owner[entry], small[entry] & (classes == mine[entry])
+
+
+def part_lists(values: np.ndarray, bounds: np.ndarray, percent: int):
+    """Rows as in ``prefix_lists``, but a list for each part of the n-grams as a whole.
+
+    A hash deals the n-grams into more parts than two linked sets of a class of
+    sizes can differ in, so linked sets have equal parts. Empty parts are spared for:
+    a set with no more of them than spare parts needs no list for them, as one of the
+    equal parts has members. A set with more of them enters their lists too.
+    """
+    size = np.diff(bounds)
+    mine, below = size_class(size), size_class(-(-percent * size // 100))
+    spans = np.where(size > 0, mine - below + 1, 0)
+    owner, classes = np.repeat(np.arange(len(size)), spans), ranges(below, spans)
+    most = (1.25 ** (classes + 1)).astype(np.int64) + 1
+    apart = (most + 100 * most // percent) * (100 - percent) // (100 + percent)
+    spare = np.where(apart > 0, 1 + apart // 20, 0)
+    parts = apart + 1 + spare
+    at = np.concatenate([[0], np.cumsum(parts)])
+    entry = np.repeat(np.arange(len(owner)), size[owner])
+    spread = mixed(values[ranges(bounds[:-1][owner], size[owner])] ^ np.uint64(0xA17))
+    slot = at[entry] + (spread % parts[entry].astype(np.uint64)).astype(np.int64)
+    sums = np.zeros(at[-1], np.uint64)
+    np.add.at(sums, slot, mixed(spread))
+    empty = np.bincount(slot, minlength=at[-1]) == 0
+    of = np.repeat(np.arange(len(owner)), parts)
+    keep = ~empty | (np.bincount(of[empty], minlength=len(owner)) > spare)[of]
+    number = np.arange(at[-1]) - at[of]
+    lists = mixed(sums + mixed((number << 8 | classes[of]).astype(np.uint64)))
+    return lists[keep], owner[of[keep]], (classes == mine[owner])[of[keep]]
+
+
+def _postings(texts: DataFrame, width: int, percent: int, frequent: np.ndarray, by_parts: bool) -> DataFrame:
+    """Index entries: list, set key and whether the set may be the smaller one of a pair in that list."""
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
         values, bounds = shingle_sets(words_of(part.column("text"), lower=True), width)
         key, _ = _set_keys(values, bounds)
         _, first = np.unique(key, return_index=True)
-        gram, owner, place = _prefixes(values, bounds, Order(frequent), percent)
+        lists, owner, small = part_lists(values, bounds, percent) if by_parts else prefix_lists(values, bounds, Order(frequent), percent)
         fresh = np.zeros(len(key), bool)
         fresh[first] = True
         fresh = fresh[owner]
-        gram, owner, place = gram[fresh], owner[fresh], place[fresh]
-        size = np.diff(bounds)[owner]
-        mine, below = size_class(size), size_class(-(-percent * size // 100))
-        small = place < size - _least_overlap(2 * size, percent) + 1
-        entry = np.repeat(np.arange(len(gram)), mine - below + 1)
-        classes = ranges(below, mine - below + 1)
-        # the least partner in a list bounds the place of the first common n-gram
-        least = np.maximum(-(-percent * size[entry] // 100), (1.25**classes * (1 - 1e-9)).astype(np.int64))
-        early = place[entry] <= size[entry] - _least_overlap(size[entry] + least, percent)
-        entry, classes = entry[early], classes[early]
-        lists = mixed(gram[entry] + mixed(classes.astype(np.uint64)))
-        keys, small = key[owner][entry], small[entry] & (classes == mine[entry])
-        return pa.RecordBatch.from_arrays([pa.array(lists.view(np.int64)), pa.array(keys), pa.array(small)], names=["list", "k1", "small"])
+        columns = [pa.array(lists[fresh].view(np.int64)), pa.array(key[owner[fresh]]), pa.array(small[fresh])]
+        return pa.RecordBatch.from_arrays(columns, names=["list", "k1", "small"])
 
     return texts.mapInArrow(per_text(run), "list long, k1 long, small boolean")
 
@@ -351,7 +386,7 @@ def _homes(members: DataFrame, groups: int, width: int, percent: int, frequent:
 
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT,
-    block: int = BLOCK, group_sets: int = GROUP_SETS,
+    block: int = BLOCK, group_sets: int = GROUP_SETS, by_parts: bool = False,
 ) -> DataFrame:
     """Per row doc_id, n_shingles and component_id, the least identifier reachable over links.
 
@@ -359,8 +394,12 @@ def near_duplicates(
     distinct ``width``-word n-grams (A-Z lowered). Identifiers are whole
     numbers; rows without one are left out. By default five words and 0.8. A null, empty or wordless text has
     an empty set and no link. Repeated rows link with each other like any equal
-    sets. ``block`` bounds the sets compared in one task.
+    sets. ``block`` bounds the sets compared in one task. ``by_parts`` finds
+    candidates by equal parts of sets instead of single n-grams: for short
+    n-grams, which many texts share by chance, and thresholds of 90 or more.
     """
+    if by_parts and percent < 90:
+        raise ValueError("index lists of parts need a threshold of 90 percent or more")
     texts = lean(df, id_col, text_col).where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
     scanned = checkpointed(_sets(texts, width))
     sets = scanned.where("kind = 0").select(F.col("id").alias("doc_id"), "k1", "k2", "n")
@@ -369,7 +408,7 @@ def near_duplicates(
     frequent = np.array([r[0] for r in often.select("id").collect()], np.int64).view(np.uint64)
 
     reps = sets.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
-    postings = materialise(_postings(texts, width, percent, frequent), "index-lists")
+    postings = materialise(_postings(texts, width, percent, frequent, by_parts), "index-lists")
     held = postings.groupBy("list").agg(F.min("k1").alias("leader"), F.max("k1").alias("last"), F.max("small").alias("small"))
     leaders = held.where("leader < last AND small").select("list", "leader")
     homes = checkpointed(postings.select("list", "k1").join(leaders, "list").select("k1", "leader").distinct())

@@ -50,7 +50,7 @@ def suffix_trees(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.near_duplicates(table(spark, folder, "documents"), width=3, percent=90)
+    return jaccard.near_duplicates(table(spark, folder, "documents"), width=3, percent=90, by_parts=True)
 
 
 def ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:

@@ -269,7 +269,7 @@ def near_classes(rows, width, percent):
     return {i: (len(s), root(i)) for i, s in sets.items()}
 
 
-@pytest.mark.parametrize("sizes", [{}, {"width": 3, "percent": 90}, {"width": 3, "percent": 70, "block": 8}, {"width": 2, "percent": 40}])
+@pytest.mark.parametrize("sizes", [{}, {"width": 3, "percent": 90}, {"width": 3, "percent": 90, "by_parts": True}, {"width": 2, "percent": 90, "by_parts": True, "block": 8}, {"width": 3, "percent": 70, "block": 8}, {"width": 2, "percent": 40}])
 def test_near_duplicates(spark, rows, empty, sizes):
     rng = random.Random(9)
     base = [f"g{rng.randint(0, 200)}" for _ in range(80)]
@@ -296,6 +296,28 @@ def test_sketches_never_overstate_a_difference():
         assert (jaccard._folded(x, buckets) != jaccard._folded(y, buckets)).sum() <= len(np.setxor1d(a, b))
 
 
+def test_linked_sets_share_a_list_of_parts():
+    rng = np.random.default_rng(4)
+    met = 0
+    for turn in range(120):
+        n = int(rng.integers(1, 40 if turn % 2 else 600))
+        base = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
+        sets = [base]
+        for _ in range(5):
+            gone, more = rng.integers(0, n // 9 + 1, 2)
+            sets.append(np.union1d(rng.permutation(base)[gone:], rng.integers(0, 1 << 62, more, dtype=np.uint64)))
+        bounds = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+        lists, owner, small = jaccard.part_lists(np.concatenate(sets), bounds, 90)
+        for i in range(len(sets)):
+            for j in range(i):
+                shared = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * shared >= 90 * (len(sets[i]) + len(sets[j]) - shared) > 0:
+                    met += 1
+                    less = i if len(sets[i]) <= len(sets[j]) else j
+                    assert set(lists[owner == i]) & set(lists[owner == j]) & set(lists[(owner == less) & small])
+    assert met > 100
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(1, 2), (3, 2), (2, 1), (5, 5), (9, 8), (8, 7), (None, 4), (30, 9)], "a long, b long")
     assert {tuple(r) for r in components(edges).collect()} == {(1, 1), (2, 1), (3, 1), (7, 7), (8, 7), (9, 7), (30, 7)}

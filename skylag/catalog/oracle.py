@@ -632,6 +632,7 @@ def oracle_sql() -> dict[str, str]:
             _PCA,
             _SCORES,
         ),
+        "pca_delay_points": on_clean("SELECT ARR_DELAY AS label, round(PC1, 6) AS PC1, round(PC2, 6) AS PC2 FROM scores", _PCA, _SCORES),
         "knn_graph": _KNN,
         "knn_blocks": _KNN,
         "clean_pipeline": on_clean(f"SELECT {exact}, {real} FROM clean"),

@@ -156,6 +156,13 @@ def _pca_by_label(df: DataFrame) -> DataFrame:
     return _rounded(G.label_summary(G.component_scores(scored, G.fit_components(scored))))
 
 
+def _pca_delay_points(df: DataFrame) -> DataFrame:
+    """Score points with the delay itself as label."""
+    scored = _standard_scores(df)
+    points = G.labelled_scores(G.component_scores(scored, G.fit_components(scored)), "ARR_DELAY", "continuous")
+    return _shape(points, "label", PC1=6, PC2=6)
+
+
 def _pca_train(df: DataFrame) -> DataFrame:
     """Components of all seven numeric features, fitted on the training part."""
     train = model_matrix(df).train
@@ -317,6 +324,7 @@ def queries() -> dict[str, Query]:
         "pca_loadings": _stored(_pca_loadings, *COMPONENT_DEFAULTS),
         "pca_scores": _stored(_pca_scores, "FLIGHT_ID", *COMPONENT_DEFAULTS),
         "pca_by_label": _stored(_pca_by_label, "FLIGHT_ID", *COMPONENT_DEFAULTS, *G.LABEL_VIEWS.values()),
+        "pca_delay_points": _stored(_pca_delay_points, "ARR_DELAY", *COMPONENT_DEFAULTS),
         "pca_train_features": _stored(_pca_train),
         "knn_graph": _knn_embeddings,
         "knn_blocks": _knn_blocks,

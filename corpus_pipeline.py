@@ -6,19 +6,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylag.llm import jaccard, line_dedup, packing, quality, substring_dedup
+from skylag.llm.arrow import checkpointed
 from skylag.llm.queries import GRADE, table, tokenizer_file
 from skylag.session import fresh_path
 
 ORACLE_SQL = None  # a fitted classifier and hashed boundaries have no SQL form; tests compare with brute force
 
 
-def _with_texts(docs: DataFrame, texts: DataFrame, removed: str) -> DataFrame:
+def _keyed(docs: DataFrame) -> DataFrame:
+    """With ``_key``: the identifier or, in rows without one, a number made of the text, above usual identifiers.
+
+    So rows without an identifier come last among the documents, and those of one text count as repeated rows.
+    """
+    of_text = F.lit(1 << 62) + F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1))
+    return docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), of_text)).withColumn("_null", F.col("text").isNull())
+
+
+def _carried(docs: DataFrame) -> list[str]:
+    return [c for c in docs.columns if c != "text"] + ["_null"]
+
+
+def _with_texts(docs: DataFrame, out: DataFrame, new: str) -> DataFrame:
     """The documents with changed texts; those that lost all their words are gone, unchanged ones keep their text."""
-    new = texts.select(F.col("doc_id").alias("_id"), F.col("_text"), F.col(removed).alias("_gone"))
-    joined = docs.join(new, F.col("doc_id") == F.col("_id"))
-    text = F.when(F.col("_gone") > 0, F.col("_text")).otherwise(F.col("text"))
-    left = joined.where((F.col("_gone") == 0) | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
-    return left.select(*[text.alias(c) if c == "text" else F.when(F.col("_gone") > 0, F.length("_text")).otherwise(F.col(c)).cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+    gone = F.col("n_removed") > 0
+    left = out.where(~gone | F.col(new).rlike(r"[^\x20\x09-\x0D]"))
+    text = F.when(gone, F.col(new)).when(~F.col("rest._null"), F.col("text"))
+    given = {c: F.col(f"rest.`{c}`") for c in docs.columns if c != "text"} | {"text": text}
+    if "n_chars" in given:
+        given["n_chars"] = F.when(gone, F.length(new)).otherwise(given["n_chars"]).cast("long")
+    return left.select(*[given[c].alias(c) for c in docs.columns])
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,19 +45,25 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without multi-line chunks that occur earlier; documents left without words go."""
-    return _with_texts(docs, line_dedup.dedup_lines(docs).withColumnRenamed("text", "_text"), "n_removed")
+    return _with_texts(docs, line_dedup.dedup_lines(_keyed(docs), "_key", carry=_carried(docs)), "text")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near duplicates."""
-    found = jaccard.near_duplicates(docs)
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The first document of each group of near duplicates, in one row; of several texts of an identifier the greatest."""
+    rows = _keyed(docs)
+    often = checkpointed(rows.groupBy("_key").count().where("count > 1").select("_key"))
+    if not often.isEmpty():
+        whole = F.struct("text", *[f"`{c}`" for c in rows.columns if c not in ("text", "_key")])
+        one = rows.join(often, "_key", "left_semi").groupBy("_key").agg(F.max(whole).alias("r")).select("_key", "r.*")
+        rows = rows.join(often, "_key", "left_anti").unionByName(one)
+    found = jaccard.near_duplicates(rows, "_key")
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_key"))
+    return rows.join(gone, "_key", "left_anti").select(*docs.columns)
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without word windows that occur earlier; documents left without words go."""
-    return _with_texts(docs, substring_dedup.remove_repeats(docs).withColumnRenamed("kept", "_text"), "n_removed")
+    return _with_texts(docs, substring_dedup.remove_repeats(_keyed(docs), "_key", carry=_carried(docs)), "kept")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -11,6 +11,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import shared_dir
 
@@ -18,9 +19,15 @@ SLICE_BYTES = 8 << 20
 WIDE_SLICE = 24 << 20  # for steps that keep little besides the texts: fewer words are met anew in each slice
 
 
-def lean(df: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
-    """Identifier and text alone, under fixed names; a null text is empty."""
-    return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+def lean(df: DataFrame, id_col: str, text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """Identifier and text alone, under fixed names; a null text is empty. Columns to ``carry`` come as one struct ``rest``."""
+    rest = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("rest")] if carry else []
+    return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), *rest)
+
+
+def with_rest(kind: str, df: DataFrame) -> StructType:
+    """The columns of ``kind``, and ``rest`` if ``df`` has it."""
+    return StructType([*StructType.fromDDL(kind).fields, *[f for f in df.schema.fields if f.name == "rest"]])
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

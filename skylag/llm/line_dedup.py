@@ -8,12 +8,15 @@ byte, is removed; its first occurrence stays.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .arrow import checkpointed, lean, sliced
+from .arrow import checkpointed, lean, sliced, with_rest
 
 SPAN = 2  # lines that a boundary looks at
 DIVISOR = 4  # one boundary in so many places
@@ -45,7 +48,7 @@ def _eligible(chunk: str) -> bool:
     return "\n" in chunk and not chunk.isspace()
 
 
-def _mapped(df: DataFrame, kind: str, fn):
+def _mapped(df: DataFrame, kind: str | StructType, fn):
     """One pass over texts; ``fn`` turns a bounded slice into rows of ``kind``."""
 
     def run(batches):
@@ -107,19 +110,21 @@ def _cleaned(part: pa.RecordBatch) -> pa.RecordBatch:
             text = "\n".join(kept)
         texts.append(text)
         removed.append(gone)
-    columns = [part.column("doc_id"), pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(removed, pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "n_lines", "n_removed"])
+    rest = [c for c in part.schema.names if c == "rest"]
+    columns = [part.column("doc_id"), pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), *map(part.column, rest)]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "text", "n_lines", "n_removed", *rest])
 
 
-def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row doc_id, text (what is left), n_lines and n_removed (lines).
+def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """Per row doc_id, text (what is left), n_lines and n_removed (lines); columns to ``carry`` follow in a struct ``rest``.
 
     Earlier means a smaller identifier, or an earlier chunk of the same text.
     Identifiers are whole numbers; rows without one are left out. A null or
     empty text has no lines. Chunks of one line or of white space alone stay.
     Repeated rows count as one document and give one result each.
     """
-    texts = lean(df, id_col, text_col).where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
+    whole = lean(df, id_col, text_col, carry).where("doc_id IS NOT NULL").withColumn("doc_id", F.col("doc_id").cast("long"))
+    texts = whole.select("doc_id", "text")
     chunks = checkpointed(_mapped(texts, "doc_id long, chunk int, h1 long, h2 long", _chunk_rows).distinct())
     place = F.struct("doc_id", "chunk")
     repeated = chunks.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -127,7 +132,8 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     later = pairs.where(place != F.col("first")).select("doc_id", "chunk", F.col("first.doc_id").alias("first_doc"), F.col("first.chunk").alias("first_chunk"))
     wanted = repeated.select("first.*").groupBy("doc_id").agg(F.collect_set("chunk").alias("wanted"))
     bodies = _mapped(texts.join(wanted.hint("shuffle_hash"), "doc_id"), "first_doc long, first_chunk int, body string", _first_texts)
-    compared = later.join(bodies, ["first_doc", "first_chunk"])
+    once = bodies.groupBy("first_doc", "first_chunk").agg(F.min("body").alias("body"))  # repeated rows offer the same text
+    compared = later.join(once, ["first_doc", "first_chunk"])
     per_doc = compared.groupBy("doc_id").agg(F.collect_list(F.struct("chunk", "body")).alias("found"))
-    joined = texts.join(per_doc.hint("shuffle_hash"), "doc_id", "left")
-    return _mapped(joined, "doc_id long, text string, n_lines long, n_removed long", _cleaned)
+    joined = whole.join(per_doc.hint("shuffle_hash"), "doc_id", "left")
+    return _mapped(joined, with_rest("doc_id long, text string, n_lines long, n_removed long", whole), _cleaned)

@@ -18,13 +18,15 @@ node, whose first occurrence is an aggregate combined before the shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import Words, checkpointed, hashes, lean, per_text, ranges, rolling, words_of
+from .arrow import Words, checkpointed, hashes, lean, per_text, ranges, rolling, with_rest, words_of
 
 WINDOW = 20
 ANCHOR = 5
@@ -212,14 +214,20 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW, frequent: int = FRE
     return masks.union(_frequent(trees, window))
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, **sizes: int) -> DataFrame:
+def remove_repeats(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, carry: Sequence[str] = (), **sizes: int
+) -> DataFrame:
     """Per row doc_id, n_words, n_removed and kept, the words left, joined by one blank.
 
+    With columns to ``carry`` the given text follows, and they in a struct ``rest``.
+
     Identifiers are whole numbers; rows without one are left out. A null or
     empty text has no words. Repeated rows count as one document and give one
     result each. Texts shorter than the window keep all words.
     """
-    texts = lean(df, id_col, text_col).where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), "text")
+    whole = lean(df, id_col, text_col, carry).where("doc_id IS NOT NULL").withColumn("doc_id", F.col("doc_id").cast("long"))
+    texts = whole.select("doc_id", "text")
+    more = ["text", "rest"] if carry else []
     flags = repeated_windows(texts, window, **sizes)
     per_doc = flags.groupBy("doc_id").agg(F.collect_list(F.struct("place", "mask")).alias("flags"))
 
@@ -241,9 +249,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         kept = np.concatenate([[0], np.cumsum(keep)])[words.offsets]
         lists = pa.ListArray.from_arrays(pa.array(kept.astype(np.int32)), words.vocab.take(pa.array(words.codes[keep])))
         return pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(words.counts), pa.array(words.counts - np.diff(kept)), pc.binary_join(lists, " ")],
-            names=["doc_id", "n_words", "n_removed", "kept"],
+            [part.column("doc_id"), pa.array(words.counts), pa.array(words.counts - np.diff(kept)), pc.binary_join(lists, " "), *map(part.column, more)],
+            names=["doc_id", "n_words", "n_removed", "kept", *more],
         )
 
-    joined = texts.join(per_doc.hint("shuffle_hash"), "doc_id", "left")
-    return joined.mapInArrow(per_text(run), "doc_id long, n_words long, n_removed long, kept string")
+    joined = whole.join(per_doc.hint("shuffle_hash"), "doc_id", "left")
+    kind = "doc_id long, n_words long, n_removed long, kept string" + ", text string" * bool(carry)
+    return joined.mapInArrow(per_text(run), with_rest(kind, whole))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import corpus_pipeline
+from pyspark.sql import functions as F
 from skylag.llm import line_dedup
 
 from ..conftest import SMALL
@@ -45,3 +48,31 @@ def test_stages(spark, tmp_path):
             assert {r["doc_id"] for r in docs.select("doc_id").collect()} == {i for i, _, _ in given}
         kept[name] = len(rows)
     assert kept["n-gram Jaccard join"] < kept["quality classifier"]
+
+
+def test_repeated_rows_and_rows_without_identifier(spark, tmp_path):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    good = sorted(r["doc_id"] for r in labels.where("quality = 1 AND toxic = 0").collect())
+    nameless, often = good[::9], good[1::9]
+    lost = F.when(F.col("doc_id").isin(nameless), F.lit(None)).otherwise(F.col("doc_id")).cast("long")
+    given = docs.withColumn("doc_id", lost)
+    given = given.union(given.where("doc_id IS NULL")).union(given.where(F.col("doc_id").isin(often))).union(given.where(F.col("doc_id").isin(often)))
+    given.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    named = Counter((r["doc_id"], r["piece"]) for r in got if r["doc_id"] is not None)
+    assert set(named.values()) == {1} and {i for i, _ in named} & set(often)
+    unnamed = Counter((r["piece"], r["length"], r["ids_crc32"]) for r in got if r["doc_id"] is None)
+    assert set(unnamed.values()) == {1}
+
+
+def test_stages_keep_rows_in_number(spark):
+    text = "\n".join(f"line {i} of a text with a few words {i * 7}" for i in range(12))
+    rows = [(1, text, 5), (1, text, 5), (None, "alone\nhere", 10), (None, None, 0), (4, text + "\nmore", 7), (None, "alone\nhere", 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    for stage in (corpus_pipeline.drop_lines, corpus_pipeline.drop_passages):
+        got = Counter((r["doc_id"], r["text"]) for r in stage(spark, docs, SMALL).collect())
+        assert got[1, text] == 2 and got[None, "alone\nhere"] == 2 and got[None, None] == 1 and sum(got.values()) <= 6
+    near = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, SMALL).collect())
+    assert near == {(1, text): 1, (None, "alone\nhere"): 1, (None, None): 1}

@@ -5,7 +5,7 @@ where its text stands in links; a node's density sum is the sum over its
 children. The subtree with the largest sum is the article. The least density on
 the path from there to the body is the threshold at which further subtrees
 beside it count as content too. Menus, adverts, forms and the like are cut out
-first, by element, role and class.
+first, by element and role, and by class if they hold the lesser part of the text.
 """
 
 from __future__ import annotations
@@ -51,17 +51,17 @@ _FURNITURE = frozenset(
     "notice alert popup modal overlay newsletter subscribe subscription signup login share sharing social related "
     "recommended comment comments commentlist reply replies respond disqus widget search pagination pager copyright".split()
 )
-_NAMES = re.compile(r"[a-z0-9]+")
 _CONTENT = frozenset(["article", "main"])
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "chars", "links", "tags", "link_tags", "density", "total", "place", "content")
+    __slots__ = ("tag", "parent", "children", "cut", "chars", "links", "tags", "link_tags", "density", "total", "place", "content", "marked", "own")
 
     def __init__(self, tag, parent, cut, place, content):
         self.tag, self.parent, self.cut, self.place, self.content = tag, parent, cut, place, content
         self.children: list = []
-        self.chars = self.links = self.tags = self.link_tags = 0
+        self.chars = self.links = self.tags = self.link_tags = self.own = 0
+        self.marked = False
         self.density = self.total = 0.0
 
 
@@ -73,14 +73,21 @@ def _furniture(tag: str, attributes: str, inside: bool) -> bool:
         return False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), entities.unescape(value.strip("\"'")).lower()
-        if name in ("class", "id"):
-            if not _FURNITURE.isdisjoint(_NAMES.findall(value)):
-                return True
-        elif name == "role" and value in _CUT_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
+        if name == "role" and value in _CUT_ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
     return False
 
 
+def _named(tag: str, attributes: str) -> bool:
+    """Whether a whole class name or the id speaks of page furniture, which is evidence only."""
+    if not attributes or tag in ("body", "html", "article", "main"):
+        return False
+    return any(
+        name.lower() in ("class", "id") and not _FURNITURE.isdisjoint(entities.unescape(value.strip("\"'")).lower().split())
+        for name, value in _ATTRIBUTE.findall(attributes)
+    )
+
+
 def parse(page: str) -> Node:
     """The element tree; unclosed and misnested elements are closed where the next element demands it.
 
@@ -120,6 +127,7 @@ def parse(page: str) -> Node:
         place += 1
         inside = node.content
         child = Node(tag, node, node.cut or _furniture(tag, match[3] or "", inside), place, inside or tag in _CONTENT)
+        child.marked = not child.cut and _named(tag, match[3] or "")
         node.children.append(child)
         if tag in _RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -146,16 +154,48 @@ def _close(node: Node, tags) -> Node:
     return node
 
 
+def _left(root: Node) -> list[Node]:
+    """Nodes that are not cut, parents before children."""
+    nodes, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if not node.cut:
+            nodes.append(node)
+            stack.extend(c for c in reversed(node.children) if not isinstance(c, str))
+    return nodes
+
+
+def _cut_marked(root: Node) -> list[Node]:
+    """Cut nodes named as furniture; the nodes left.
+
+    A node with most of the page's text outside links stays, unless it has no
+    article, main or h1 element and others do.
+    """
+    nodes = _left(root)
+    for node in reversed(nodes):
+        node.own = sum(len(_SPACE.sub("", c)) for c in node.children if isinstance(c, str))
+    if not any(n.marked for n in nodes):
+        return nodes
+    plain, heads = {}, {}
+    for node in reversed(nodes):
+        below = [id(c) for c in node.children if not isinstance(c, str) and not c.cut]
+        plain[id(node)] = 0 if node.tag == "a" else node.own + sum(plain[c] for c in below)
+        heads[id(node)] = (node.tag in _CONTENT or node.tag == "h1") + sum(heads[c] for c in below)
+    for node in nodes:
+        if node.marked:
+            most = 2 * plain[id(node)] > plain[id(root)]
+            node.cut = not most or heads[id(node)] == 0 < heads[id(root)]
+    return _left(root)
+
+
 def _measure(nodes: list[Node], body: Node) -> None:
     """Characters, tags and densities, children before parents."""
     for node in reversed(nodes):
         link = node.tag == "a"
+        node.chars += node.own
+        node.links += node.own * link
         for child in node.children:
-            if isinstance(child, str):
-                n = len(_SPACE.sub("", child))
-                node.chars += n
-                node.links += n * link
-            elif not child.cut:
+            if not isinstance(child, str) and not child.cut:
                 node.chars += child.chars
                 node.tags += child.tags + 1
                 node.links += child.chars if link else child.links
@@ -169,7 +209,7 @@ def _measure(nodes: list[Node], body: Node) -> None:
             node.density = node.chars / tags * (math.log(ratio) / base if ratio > 1 else 0.0)
     for node in nodes:
         node.total = sum(c.density for c in node.children if not isinstance(c, str) and not c.cut and c.tag in _BLOCK)
-        node.total += sum(len(_SPACE.sub("", c)) for c in node.children if isinstance(c, str)) if node.tag in _BLOCK else 0.0
+        node.total += node.own if node.tag in _BLOCK else 0.0
 
 
 def _blocks(root: Node) -> list[str]:
@@ -205,12 +245,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
-    nodes, stack = [], [root]
-    while stack:
-        node = stack.pop()
-        if not node.cut:
-            nodes.append(node)
-            stack.extend(c for c in reversed(node.children) if not isinstance(c, str))
+    nodes = _cut_marked(root)
     body = next((n for n in nodes if n.tag == "body"), root)
     _measure(nodes, body)
     blocks = [n for n in nodes if n.tag in _BLOCK or n is root]

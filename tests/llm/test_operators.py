@@ -387,6 +387,14 @@ def test_main_text(shell):
     assert html_text.main_text(PAGE % (shell % BODY)) == TEXT
 
 
+@pytest.mark.parametrize("name", ["class='has-sidebar'", "class='content-sidebar-wrap'", "class=no-sidebar", "class='page search'", "id=widget"])
+def test_class_words_never_cut_the_text(name):
+    assert html_text.main_text(PAGE % (f"<div {name}><article>{BODY * 3}</article></div>")) == "\n\n".join([TEXT] * 3)
+    inner = "<section id='related-work'><h2>Related work</h2><p>Others wrote about it before, at some length.</p></section>"
+    got = html_text.main_text(PAGE % f"<article>{BODY}{inner}<div class='ad big'><p>Buy this thing now, it is cheap.</p></div></article>")
+    assert got == TEXT + "\n\nRelated work\n\nOthers wrote about it before, at some length."
+
+
 def test_main_text_of_odd_pages(spark):
     pages = [None, "", "plain &lt;text&gt;", "<p>one<p>two", "<" * 500, "<a " + '"' * 400, "<div>" * 3000 + "deep", "<!-- open", "<script>x", PAGE % ""]
     assert [html_text.main_text(p) for p in pages[:4]] == ["", "", "plain <text>", "one\n\ntwo"]

@@ -4,7 +4,8 @@ Each page becomes a small tree. Every node gets its characters per tag, lowered
 where its text stands in links; a node's density sum is the sum over its
 children. The subtree with the largest sum is the article. The least density on
 the path from there to the body is the threshold at which further subtrees
-beside it count as content too. Menus, adverts, forms and the like are cut out
+beside it count as content too. As a bonus, what stands in the same outermost
+article or main element needs no such density unless it is mostly links. Menus, adverts, forms and the like are cut out
 first, by element and role, and by class if they hold the lesser part of the text.
 """
 
@@ -252,16 +253,18 @@ def main_text(page: str | None) -> str:
     best = max(blocks, key=lambda n: (n.total, -n.place))
     while best is not body and best.parent is not None and (best.tag in ("p", "li", "ul", "ol", "dl", "tr", "td", "tbody", "thead") or best.tag[0] == "h" and best.tag[1:].isdigit()):
         best = best.parent
-    semantic = [n for n in _line(best) if n.tag in _CONTENT]
-    if semantic:
-        best = semantic[0]
     path = [n for n in _line(best) if n.chars]
     threshold = min((n.density for n in path), default=0.0)
-    chosen = [best]
-    if best is not body and not semantic:
+    home = next((n for n in reversed(path) if n.tag in _CONTENT), best)
+    chosen = [home]
+    if best is not body:
         under = set(map(id, path))
+        whole = set(map(id, _left(best)))
+        for node in _left(home):
+            if node.tag in _BLOCK and node.density < threshold and 2 * node.links > node.chars and id(node) not in under and id(node) not in whole:
+                node.cut = True
         for node in blocks:
-            if id(node) in under or node.total <= 0 or node.density < threshold:
+            if id(node) in under or node.cut or node.total <= 0 or node.density < threshold:
                 continue
             if not any(c is up for up in _line(node) for c in chosen):
                 chosen.append(node)

@@ -395,6 +395,24 @@ def test_class_words_never_cut_the_text(name):
     assert got == TEXT + "\n\nRelated work\n\nOthers wrote about it before, at some length."
 
 
+def _paragraphs(*sizes):
+    return "".join("<p>" + " ".join(f"w{size}x{i}" for i in range(size)) + "</p>" for size in sizes)
+
+
+@pytest.mark.parametrize("body", [
+    "<main><article>" + _paragraphs(60, 61, 62, 63) + "</article><article>" + _paragraphs(40) + "</article><article>" + _paragraphs(15) + "</article></main>",
+    "<main>" + _paragraphs(30, 31) + "<article class=quote>" + _paragraphs(80, 81, 82, 83) + "</article>" + _paragraphs(33) + "</main>",
+    "<article><section>" + _paragraphs(90, 91, 92) + "</section><section><h2>t</h2>" + _paragraphs(10) + "</section></article>",
+    "<article>" + _paragraphs(90, 91, 92) + "</article><div>" + _paragraphs(93, 94, 95) + "</div>",
+])
+def test_text_in_several_elements(body):
+    links = "<div><a href=1>link one</a> <a href=2>link two</a> <a href=3>more links</a></div>"
+    got = html_text.main_text(PAGE % (body + links)).split()
+    assert set(re.findall(r"w\d+x\d+", body)) <= set(got) and "link" not in got
+    inside = body.replace("</p><article", "</p>" + links + "<article")
+    assert "link" not in html_text.main_text(PAGE % inside).split()
+
+
 def test_main_text_of_odd_pages(spark):
     pages = [None, "", "plain &lt;text&gt;", "<p>one<p>two", "<" * 500, "<a " + '"' * 400, "<div>" * 3000 + "deep", "<!-- open", "<script>x", PAGE % ""]
     assert [html_text.main_text(p) for p in pages[:4]] == ["", "", "plain <text>", "one\n\ntwo"]

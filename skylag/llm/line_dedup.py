@@ -18,8 +18,8 @@ from pyspark.sql.types import StructType
 
 from .arrow import checkpointed, lean, sliced, with_rest
 
-SPAN = 2  # lines that a boundary looks at
-DIVISOR = 4  # one boundary in so many places
+SPAN = 1  # lines that a boundary looks at
+DIVISOR = 2  # one boundary in so many places
 LEAST, MOST = 2, 16  # lines of a chunk
 
 _LOW = (1 << 64) - 1

@@ -94,6 +94,16 @@ def test_chunks_resist_a_shift():
     assert all("\n".join(line_dedup.chunks_of(t)) == t for t in ("", "a", "\n", "a\n\nb\n"))
 
 
+def test_chunks_catch_short_passages():
+    rng, seen, caught = random.Random(8), set(), 0
+    for n in range(400):  # texts of six lines, then texts that share four of them between other neighbours
+        for lines in ([f"{n} {k}" for k in range(6)], [f"a {n}", f"b {n}", *[f"{n} {k}" for k in range(1, 5)], f"c {n}", f"d {rng.random()}"]):
+            for chunk in line_dedup.chunks_of("\n".join(lines)):
+                caught += "\n" in chunk and chunk in seen
+                seen.add(chunk)
+    assert caught > 120
+
+
 def test_language_model(docs, rows, empty):
     counts, tokens = Counter(), {}
     for i, text, _ in rows:

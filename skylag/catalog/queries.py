@@ -185,9 +185,8 @@ def _minor_as_zero(df: DataFrame) -> DataFrame:
 
 
 def _knn_flights(df: DataFrame) -> DataFrame:
-    """Neighbour graph of the training features, on the customary capped sample."""
-    sample = S.capped_sample(model_matrix(df).train, max_rows=100_000)
-    return _rounded(knn_graph(sample, "FLIGHT_ID", list(NEIGHBOUR_FEATURES)))
+    """Neighbour graph of the training features, over the whole training part."""
+    return _rounded(knn_graph(model_matrix(df).train, "FLIGHT_ID", list(NEIGHBOUR_FEATURES)))
 
 
 def _report_index(df: DataFrame) -> DataFrame:

@@ -220,6 +220,17 @@ def test_split_hot_cells(spark, monkeypatch):
     assert got == brute(points, 4)
 
 
+def test_flight_neighbours_take_the_whole_training_part(clean, monkeypatch):
+    from skylag.catalog import queries as Q
+
+    few = clean.limit(300).localCheckpoint()
+    want = column(model_matrix(few).train.select("FLIGHT_ID"), "FLIGHT_ID")
+    cap = S.capped_sample
+    monkeypatch.setattr(S, "capped_sample", lambda df, *a, **b: cap(df, max_rows=20))  # a cap at once, not at 100,000 rows
+    graph = Q._knn_flights(few)
+    assert sorted({r["src"] for r in graph.collect()}) == sorted(want)
+
+
 def test_neighbours_skip_missing_features(spark):
     df = spark.createDataFrame([(1, 0.0), (2, None), (3, 1.0)], "id bigint, x double")
     assert {(r["src"], r["dst"]) for r in knn_graph(df, "id", ["x"]).collect()} == {(1, 3), (3, 1)}

@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html_text, jaccard, line_dedup, lm_scoring, packing, quality, substring_dedup, topk
+from . import active_lloyd, ann, bpe, html_text, jaccard, language_id, line_dedup, lm_scoring, packing, periodic_runs, quality
+from . import substring_dedup, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Harmful below poor below good.
 GRADE = "CASE WHEN toxic = 1 THEN 0 WHEN quality = 0 THEN 1 WHEN quality = 1 THEN 2 END"
 LEARNS = "crc32(cast(cast(doc_id AS string) AS binary)) % 7 <> 2"
+CRC = "crc32(cast(cast(doc_id AS string) AS binary))"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -74,6 +76,34 @@ def voronoi(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def bitmask_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows without an identifier are learned from."""
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(F.expr(f"{CRC} % 4 = 2"), F.lit(False))
+    model = language_id.fit(docs.where(~held_out))
+    return language_id.predict(docs, model, held_out=held_out)
+
+
+def lloyd_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return active_lloyd.compress(table(spark, folder, "embeddings")).drop("label")
+
+
+def lyndon_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows without an identifier keep their text as it is."""
+    found = periodic_runs.find_runs(table(spark, folder, "documents"), seed=F.expr(CRC))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -92,12 +122,15 @@ def queries() -> dict[str, Query]:
         "op8_byte_bpe": byte_bpe,
         "op9_html_text": html_extraction,
         "op10_voronoi_topk": voronoi,
+        "op11_bitmask_language": bitmask_language,
+        "op12_active_lloyd": lloyd_codes,
+        "op13_lyndon_runs": lyndon_runs,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_voronoi_topk": VORONOI_SQL, "op6_ngram_jaccard": JACCARD_SQL}
+    return {"op10_voronoi_topk": VORONOI_SQL, "op6_ngram_jaccard": JACCARD_SQL, "op12_active_lloyd": lloyd_sql()}
 
 
 VORONOI_SQL = """
@@ -143,3 +176,41 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, min(r.least) AS component_id
 FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN reached r ON r.node = d.doc_id
 GROUP BY d.doc_id, s.n
 """
+
+
+def lloyd_sql(rounds: int = 6) -> str:
+    """Plain Lloyd's rounds, each a full comparison."""
+    steps = [
+        """WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v, len(embedding) // 8 AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT vec_id, label, w, CAST(g.range AS INTEGER) AS p, v[g.range * w + 1 : g.range * w + w] AS x FROM kept, range(8) g
+), book0 AS MATERIALIZED (
+  SELECT p, CAST(row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS INTEGER) AS e, x FROM parts
+  WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 16)
+)"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""gaps{r} AS (
+  SELECT a.vec_id, a.label, a.p, b.e, a.x, list_sum(list_transform(range(1, a.w + 1), lambda i: (a.x[i] - b.x[i]) * (a.x[i] - b.x[i]))) AS d
+  FROM parts a JOIN book{r} b ON a.p = b.p
+), near{r} AS MATERIALIZED (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id, p ORDER BY d, e) AS place FROM gaps{r}) WHERE place = 1
+)""")
+        if r < rounds:
+            steps.append(f"""sums{r} AS (
+  SELECT p, e, i, CAST(floor(CAST(sum(c) AS DOUBLE) / count(*)) AS BIGINT) AS c
+  FROM (SELECT p, e, unnest(x) AS c, unnest(range(1, len(x) + 1)) AS i FROM near{r}) GROUP BY p, e, i
+), book{r + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(s.x, b.x) AS x
+  FROM book{r} b LEFT JOIN (SELECT p, e, list(c ORDER BY i) AS x FROM sums{r} GROUP BY p, e) s ON s.p = b.p AND s.e = b.e
+)""")
+    return ",\n".join(steps) + f""", coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{rounds} GROUP BY vec_id, label
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, digest
+"""

@@ -1,22 +1,24 @@
 """Histograms, density curves, box statistics and clock points.
 
-The extremes, counts and deviations a curve needs are fitted first (one row
-per column or group) and enter the second pass as constants.
+The needed columns are stored once. A pass over them fits what a table needs
+(extremes, deviations, quartiles), a second one counts or sums with it; both
+are sweeps of mergeable partial results.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..schema import complete, present, require
+from ..session import materialise
 from .cleaning import clip_columns
-from .quantiles import collect_groups, summarise
+from .partials import Part, merged, merged_moments, moments, sweep, wide
+from .quantiles import held, quantile_table, totals_of
 
 # Display ranges of the charts.
 DELAY_RANGE = (-60.0, 180.0)
@@ -28,13 +30,40 @@ BOX_RANGES = {
 }
 NUMERIC = ("CRS_ELAPSED_TIME", "DISTANCE", "AVG_SPEED", "ARR_DELAY")
 
-# exp(-0.5 * 39 * 39) is zero in double precision.
-_KERNEL_REACH = 39.0
 
+def _matched(fits: DataFrame, found: DataFrame, *more: str) -> DataFrame:
+    """Every row of ``fits`` beside what a pass found for it, or nulls."""
+    keys = [c for c in ("g", "i") if c in fits.columns] + list(more)
+    other = found.select(*[F.col(c).alias(f"f_{c}") for c in keys], *[F.col(c).alias(f"found_{c}") for c in ("n", "x", "low", "high")])
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"f_{c}"))
+    return fits.join(other, same, "left")
 
-def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    return wide.unpivot([], list(columns), "column", "value").where(F.col("value").isNotNull())
+
+def _named(columns: Sequence[str]):
+    """The column's name from its number."""
+    return F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("i") + 1)
+
+
+def bin_edges(totals: DataFrame, bins: int) -> DataFrame:
+    """(i, lo, width) of equal bins between the extremes; a constant has a bin width around it."""
+    flat = F.col("low") == F.col("high")
+    lo, hi = F.col("low") - F.when(flat, 0.5).otherwise(0.0), F.col("high") + F.when(flat, 0.5).otherwise(0.0)
+    return totals.select("i", lo.alias("lo"), ((hi - lo) / F.lit(float(bins))).alias("width"))
+
+
+def binned(edges: DataFrame, partials: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
+    """The histogram table of counted bins, empty ones with zero."""
+    grid = edges.withColumn("j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))))
+    low = F.col("lo") + F.col("width") * F.col("j")
+    return _matched(grid, merged(partials, "bins"), "j").select(
+        _named(columns).alias("column"),
+        F.col("j").cast("int").alias("bin"),
+        low.alias("bin_low"),
+        (F.col("lo") + F.col("width") * (F.col("j") + 1)).alias("bin_high"),
+        F.coalesce("found_n", F.lit(0)).alias("n"),
+    )
 
 
 def histogram(
@@ -49,27 +78,10 @@ def histogram(
     """
     require(df, columns)
     df = clip_columns(df, {c: r for c, r in (ranges or {}).items() if c in columns})
-    long = _long(df, columns)
-    edges = [
-        (r["column"], *((r["lo"] - 0.5, r["hi"] + 0.5) if r["lo"] == r["hi"] else (r["lo"], r["hi"])))
-        for r in long.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).collect()
-    ]
-    limits = df.sparkSession.createDataFrame(edges, "column string, lo double, hi double")
-    width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    index = F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
-    counted = (
-        long.join(F.broadcast(limits), "column")
-        .groupBy("column", index.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    grid = limits.select("column", "lo", width.alias("width"), F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return grid.join(counted, ["column", "bin"], "left").select(
-        "column",
-        "bin",
-        (F.col("lo") + F.col("width") * F.col("bin")).alias("bin_low"),
-        (F.col("lo") + F.col("width") * (F.col("bin") + 1)).alias("bin_high"),
-        F.coalesce("n", F.lit(0)).alias("n"),
-    )
+    rows = materialise(wide(df, columns), "columns")
+    edges = held(bin_edges(merged_moments(sweep(rows, moments())), bins))
+    own, _ = edges.settings("bins", "lo", "width")
+    return binned(edges.table, sweep(rows, Part("bins", {"bins": bins}, own)), columns, bins)
 
 
 def delay_histogram(df: DataFrame, bins: int = 80, clip: tuple[float, float] = DELAY_RANGE) -> DataFrame:
@@ -81,34 +93,49 @@ def numeric_histograms(df: DataFrame, columns: Sequence[str] = NUMERIC, bins: in
     return histogram(df, present(df, columns), bins, {"ARR_DELAY": DELAY_RANGE})
 
 
-@dataclass
-class _Bell:
-    group: object
-    n: int
-    low: float
-    high: float
-    bandwidth: float
+def curve_fits(totals: DataFrame, grid: int, cut: float, rule: str) -> DataFrame:
+    """(g, i, n, lo, step, bw) of every curve with a bandwidth, from counts, deviations, extremes and quartiles.
 
-
-def _bells(df: DataFrame, column: str, by: str | None, cut: float, rule: str) -> list[_Bell]:
+    ``scott`` takes the deviation, ``nrd0`` the lesser of deviation and quartile distance / 1.34.
+    """
+    keys = [c for c in ("g", "i") if c in totals.columns]
+    shrink = F.pow(F.col("n").cast("double"), F.lit(-0.2))
+    std = F.coalesce("std", F.lit(0.0))
     if rule == "scott":
-        value = F.col(column).cast("double")
-        group = F.col(by) if by else F.lit(None).cast("string")
-        stats = collect_groups(
-            df.groupBy(group.alias("g")).agg(
-                F.count(value).alias("n"), F.stddev_samp(value).alias("sd"), F.min(value).alias("lo"), F.max(value).alias("hi")
-            )
-        )
-        fitted = [(r["g"], r["n"], r["lo"], r["hi"], (r["sd"] or 0.0) * r["n"] ** -0.2) for r in stats if r["n"]]
+        width = std * shrink
     elif rule == "nrd0":
-        fitted = []
-        for s in summarise(df, [column], (0.25, 0.75), by):
-            spread = (s.quantiles[1] - s.quantiles[0]) / 1.34
-            scale = min(s.std or 0.0, spread) or s.std or 0.0
-            fitted.append((s.group, s.count, s.low, s.high, 0.9 * scale * s.count**-0.2))
+        spread = (F.col("quantiles")[1] - F.col("quantiles")[0]) / 1.34
+        least = F.least(std, spread)
+        width = F.when(least > 0, least).otherwise(std) * 0.9 * shrink
     else:
         raise ValueError("bandwidth rule must be 'scott' or 'nrd0'")
-    return [_Bell(g, n, lo - cut * bw, hi + cut * bw, bw) for g, n, lo, hi, bw in fitted if bw > 0]
+    fits = totals.where("n > 0").select(*keys, "n", "low", "high", width.alias("bw")).where("bw > 0")
+    lo, hi = F.col("low") - cut * F.col("bw"), F.col("high") + cut * F.col("bw")
+    return fits.select(*keys, "n", lo.alias("lo"), ((hi - lo) / F.lit(grid - 1)).alias("step"), "bw")
+
+
+def curve_points(fits: DataFrame, partials: DataFrame, grid: int) -> DataFrame:
+    """(g, i, point, x, density): every grid point, zero where no value reaches it."""
+    keys = [c for c in ("g", "i") if c in fits.columns]
+    points = fits.withColumn("j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(grid - 1).cast("bigint"))))
+    norm = F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi))
+    return _matched(points, merged(partials, "curves"), "j").select(
+        *keys,
+        F.col("j").cast("int").alias("point"),
+        (F.col("lo") + F.col("step") * F.col("j")).alias("x"),
+        (F.coalesce("found_x", F.lit(0.0)) / norm).alias("density"),
+    )
+
+
+def _densities(rows: DataFrame, grid: int, cut: float, rule: str) -> DataFrame:
+    """Curves of all columns of stored rows: a pass for the fits (more for quartiles), one for the sums."""
+    if rule == "nrd0":
+        totals = quantile_table(rows, (0.25, 0.75))
+    else:
+        totals = totals_of(sweep(rows, moments()))
+    fits = held(curve_fits(totals, grid, cut, rule))
+    own, table = fits.settings("curves", "lo", "step", "bw")
+    return curve_points(fits.table, sweep(rows, Part("curves", {"grid": grid}, own), settings=table), grid)
 
 
 def density(
@@ -123,10 +150,10 @@ def density(
 ) -> DataFrame:
     """Gaussian kernel density on an even grid, per group when ``by`` is given.
 
-    Equal values are merged into one weighted value before any kernel is
-    evaluated, and a value visits only the grid points its kernel can reach in
-    double precision. ``resolution`` snaps values to a step first, for columns
-    with too many distinct values to evaluate one by one.
+    Every task adds its values' kernels up on the grid; the sums of all tasks
+    are merged, so what is shuffled does not grow with the rows. There may be
+    any number of groups. ``resolution`` snaps values to a step first, so that
+    more of them are equal and cost one kernel.
     """
     require(df, [column, *([by] if by else [])])
     df = df.select(*([by] if by else []), F.col(column).cast("double").alias(column))
@@ -135,54 +162,41 @@ def density(
         df = clip_columns(df, {column: clip})
     if resolution:
         df = df.withColumn(column, F.round(F.col(column) / F.lit(resolution)) * F.lit(resolution))
-    bells = _bells(df, column, by, cut, rule)
-    kind = dict(df.dtypes)[by] if by else "string"
-    fit = df.sparkSession.createDataFrame(
-        [(b.group, b.n, b.low, (b.high - b.low) / (grid - 1), b.bandwidth) for b in bells],
-        f"g {kind}, n bigint, low double, step double, bw double",
-    )
-    group = F.col(by) if by else F.lit(None).cast("string")
-    weighted = df.groupBy(group.alias("v_g"), F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("w"))
-    reach = F.lit(_KERNEL_REACH) * F.col("bw")
-    first = F.greatest(F.lit(0), F.floor((F.col("v") - reach - F.col("low")) / F.col("step")).cast("int"))
-    last = F.least(F.lit(grid - 1), F.ceil((F.col("v") + reach - F.col("low")) / F.col("step")).cast("int"))
-    point = F.col("low") + F.col("step") * F.col("i")
-    distance = (F.col("x") - F.col("v")) / F.col("bw")
-    sums = (
-        weighted.join(F.broadcast(fit), F.col("v_g").eqNullSafe(F.col("g")))
-        .withColumn("i", F.explode(F.sequence(first, last)))
-        .withColumn("x", point)
-        .groupBy("g", "i")
-        .agg(F.sum(F.col("w") * F.exp(F.lit(-0.5) * distance * distance)).alias("total"))
-    )
-    points = fit.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("p"))
-    joined = points.alias("a").join(
-        sums.alias("b"), F.col("a.g").eqNullSafe(F.col("b.g")) & (F.col("a.p") == F.col("b.i")), "left"
-    )
-    norm = F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi))
-    out = joined.select(
-        F.col("a.g").alias("g"),
-        F.col("p").alias("point"),
-        (F.col("low") + F.col("step") * F.col("p")).alias("x"),
-        (F.coalesce("total", F.lit(0.0)) / norm).alias("density"),
-    )
-    return out.withColumnRenamed("g", by) if by else out.drop("g")
+    out = _densities(materialise(wide(df, [column], by), "columns"), grid, cut, rule).drop("i")
+    return out.withColumnRenamed("g", by) if by else out
 
 
 def delay_density(df: DataFrame, grid: int = 200, clip: tuple[float, float] = DELAY_RANGE, rule: str = "scott") -> DataFrame:
     return density(df, "ARR_DELAY", None, grid, 0.0, rule, clip)
 
 
-def numeric_densities(df: DataFrame, columns: Sequence[str] = NUMERIC, grid: int = 200) -> DataFrame:
-    """One density curve per listed column that exists, delay clipped.
-
-    The columns are stacked, so all curves share both passes.
-    """
+def numeric_densities(df: DataFrame, columns: Sequence[str] = NUMERIC, grid: int = 200, rule: str = "scott") -> DataFrame:
+    """One density curve per listed column that exists, delay clipped; all curves share their passes."""
     columns = present(df, columns)
     if not columns:
         raise ValueError("none of the columns exists")
-    long = _long(clip_columns(df, {"ARR_DELAY": DELAY_RANGE} if "ARR_DELAY" in columns else {}), columns)
-    return density(long, "value", "column", grid)
+    df = clip_columns(df, {"ARR_DELAY": DELAY_RANGE} if "ARR_DELAY" in columns else {})
+    out = _densities(materialise(wide(df, columns), "columns"), grid, 0.0, rule)
+    return out.select(_named(columns).alias("column"), "point", "x", "density")
+
+
+def fences(quartiles: DataFrame) -> DataFrame:
+    """Quartiles with the places 1.5 interquartile distances beyond them."""
+    q = F.col("quantiles")
+    reach = F.lit(1.5) * (q[2] - q[0])
+    keys = [c for c in ("g", "i") if c in quartiles.columns]
+    return quartiles.select(
+        *keys, q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"), (q[0] - reach).alias("fence_low"), (q[2] + reach).alias("fence_high"), "n"
+    )
+
+
+def whiskers(boxes: DataFrame, partials: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The box table: quartiles, extreme values inside the fences, and how many lie beyond."""
+    g = ["g"] if "g" in boxes.columns else []
+    return _matched(boxes, merged(partials, "whiskers")).select(
+        *g, _named(columns).alias("column"), "q1", "median", "q3", F.col("found_low").alias("whisker_low"),
+        F.col("found_high").alias("whisker_high"), F.col("found_n").alias("outliers"), "n",
+    )
 
 
 def box_stats(
@@ -194,40 +208,26 @@ def box_stats(
 ) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers and the count beyond them.
 
-    Exact quartiles come from rank narrowing; ``approximate`` replaces them by
-    one sketch pass for a first look at very large columns.
+    Exact quartiles come from radix selection, and the whiskers from the same
+    stored columns; ``approximate`` replaces the quartiles by one sketch pass
+    for a first look at very large columns. There may be any number of groups.
     """
     columns = present(df, columns or NUMERIC)
     if not columns:
         raise ValueError("none of the columns exists")
     require(df, [by] if by else [])
     df = clip_columns(df, {c: r for c, r in (BOX_RANGES if ranges is None else ranges).items() if c in columns})
-    group = F.col(by) if by else F.lit(None).cast("string")
-    kind = dict(df.dtypes)[by] if by else "string"
-    wide = df.select(group.alias("g"), *[F.col(c).cast("double").alias(c) for c in columns])
-    if by:
-        wide = wide.where(F.col("g").isNotNull())
-    long = wide.unpivot(["g"], columns, "column", "value").where(F.col("value").isNotNull())
+    rows = wide(df, columns, by)
+    rows = materialise(rows.where(F.col("g").isNotNull()) if by else rows, "columns")
     if approximate:
-        q = F.percentile_approx("value", [0.25, 0.5, 0.75], 10_000)
-        fitted = [(r["g"], r["column"], *r["q"]) for r in collect_groups(long.groupBy("g", "column").agg(q.alias("q")))]
+        cells = [F.struct(F.lit(i).alias("i"), F.count(f"c{i}").alias("n"), F.percentile_approx(f"c{i}", [0.25, 0.5, 0.75], 10_000).alias("quantiles")) for i in range(len(columns))]
+        quartiles = rows.groupBy(*(["g"] if by else [])).agg(F.array(*cells).alias("all")).select(*(["g"] if by else []), F.inline("all"))
     else:
-        fitted = [(s.group, s.column, *s.quantiles) for s in summarise(wide, columns, by="g" if by else None)]
-    boxes = df.sparkSession.createDataFrame(fitted, f"b_g {kind}, b_column string, q1 double, median double, q3 double")
-    reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
-    low, high = F.col("q1") - reach, F.col("q3") + reach
-    value = F.col("value")
-    out = (
-        long.join(F.broadcast(boxes), F.col("g").eqNullSafe(F.col("b_g")) & (F.col("column") == F.col("b_column")))
-        .groupBy("g", "column", "q1", "median", "q3")
-        .agg(
-            F.min(F.when(value >= low, value)).alias("whisker_low"),
-            F.max(F.when(value <= high, value)).alias("whisker_high"),
-            F.count_if((value < low) | (value > high)).alias("outliers"),
-            F.count(value).alias("n"),
-        )
-    )
-    return out.withColumnRenamed("g", by) if by else out.drop("g")
+        quartiles = quantile_table(rows, (0.25, 0.5, 0.75))
+    boxes = held(fences(quartiles.where("n > 0")))
+    own, table = boxes.settings("whiskers", "fence_low", "fence_high")
+    out = whiskers(boxes.table, sweep(rows, Part("whiskers", {}, own), settings=table), columns)
+    return out.withColumnRenamed("g", by) if by else out
 
 
 def season_box(df: DataFrame) -> DataFrame:

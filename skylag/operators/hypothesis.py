@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,32 +19,42 @@ PRE_YEARS = (2019,)
 POST_YEARS = (2022, 2023)
 
 
-def welch(
-    df: DataFrame,
-    name: str,
-    value: str,
-    first: Column,
-    second: Column,
-    alternative: str = "two-sided",
-    alpha: float = ALPHA,
-) -> DataFrame:
-    """Difference first - second of two conditions over one value column.
+@dataclass(frozen=True)
+class Comparison:
+    """Two conditions over one value column, compared as first - second."""
 
-    Both sides are measured in the same aggregate. When a side has fewer than
-    two values the statistic is NULL and the decision says so.
+    name: str
+    value: str
+    first: Column
+    second: Column
+    alternative: str = "two-sided"
+
+
+def _sides(k: int, test: Comparison) -> list[Column]:
+    measured = F.col(test.value).cast("double")
+    out = []
+    for side, condition in (("first", test.first), ("second", test.second)):
+        value = F.when(condition, measured)
+        out += [F.count(value).alias(f"n_{side}_{k}"), F.avg(value).alias(f"mean_{side}_{k}"), F.var_samp(value).alias(f"var_{side}_{k}")]
+    return out
+
+
+def compare(df: DataFrame, tests: Sequence[Comparison], alpha: float = ALPHA) -> DataFrame:
+    """One row per comparison; both sides of all of them are measured in one aggregate.
+
+    When a side has fewer than two values the statistic is NULL and the
+    decision says so.
     """
-    if alternative not in ("two-sided", "greater"):
+    if any(t.alternative not in ("two-sided", "greater") for t in tests):
         raise ValueError("alternative must be 'two-sided' or 'greater'")
-    measured = F.col(value).cast("double")
-    one, two = F.when(first, measured), F.when(second, measured)
-    sums = df.where(first | second).agg(
-        F.count(one).alias("n_first"),
-        F.count(two).alias("n_second"),
-        F.avg(one).alias("mean_first"),
-        F.avg(two).alias("mean_second"),
-        F.var_samp(one).alias("var_first"),
-        F.var_samp(two).alias("var_second"),
-    )
+    either = reduce(lambda a, b: a | b, [t.first | t.second for t in tests])
+    wide = df.where(either).agg(*[m for k, t in enumerate(tests) for m in _sides(k, t)])
+    names = [f"{what}_{side}" for what in ("n", "mean", "var") for side in ("first", "second")]
+    rows = [
+        F.struct(F.lit(t.name).alias("test"), F.lit(t.alternative).alias("alternative"), *[F.col(f"{n}_{k}").alias(n) for n in names])
+        for k, t in enumerate(tests)
+    ]
+    sums = wide.select(F.inline(F.array(*rows)))
     sums = sums.withColumns(
         {
             "e1": F.try_divide(F.col("var_first"), F.col("n_first")),
@@ -56,8 +70,8 @@ def welch(
     tested = sums.withColumns(
         {"t": F.try_divide(F.col("mean_first") - F.col("mean_second"), F.sqrt(error)), "df": freedom}
     )
-    tail = two_sided_p if alternative == "two-sided" else greater_p
-    tested = tested.withColumn("p_value", tail(F.col("t"), F.col("df")))
+    two, greater = two_sided_p(F.col("t"), F.col("df")), greater_p(F.col("t"), F.col("df"))
+    tested = tested.withColumn("p_value", F.when(F.col("alternative") == "greater", greater).otherwise(two))
     decision = (
         F.when(F.col("p_value").isNull(), "NOT ENOUGH DATA")
         .when(F.col("p_value") < alpha, "REJECT")
@@ -68,34 +82,44 @@ def welch(
         F.col("p_value").isNotNull(), "no significant difference"
     )
     return tested.select(
-        F.lit(name).alias("test"),
-        F.lit(alternative).alias("alternative"),
-        "n_first",
-        "n_second",
-        "mean_first",
-        "mean_second",
-        "t",
-        "df",
-        "p_value",
-        decision.alias("decision"),
-        direction.alias("direction"),
+        "test", "alternative", "n_first", "n_second", "mean_first", "mean_second", "t", "df", "p_value",
+        decision.alias("decision"), direction.alias("direction"),
     )
 
 
-def welch_weekend(df: DataFrame, alpha: float = ALPHA) -> DataFrame:
-    """Weekend against weekday delays, two-sided."""
+def welch(
+    df: DataFrame,
+    name: str,
+    value: str,
+    first: Column,
+    second: Column,
+    alternative: str = "two-sided",
+    alpha: float = ALPHA,
+) -> DataFrame:
+    """Difference first - second of two conditions over one value column."""
+    return compare(df, [Comparison(name, value, first, second, alternative)], alpha)
+
+
+def _weekend(df: DataFrame) -> Comparison:
     require(df, ["ARR_DELAY", "IS_WEEKEND"])
     flag = F.col("IS_WEEKEND")
-    return welch(df, "weekend_vs_weekday", "ARR_DELAY", flag == 1, flag == 0, "two-sided", alpha)
+    return Comparison("weekend_vs_weekday", "ARR_DELAY", flag == 1, flag == 0)
 
 
-def welch_era(df: DataFrame, alpha: float = ALPHA) -> DataFrame:
-    """Post- against pre-pandemic delays, one-sided; years reach the scan as a filter."""
+def _era(df: DataFrame) -> Comparison:
     require(df, ["ARR_DELAY", "FL_YEAR"])
     year = F.col("FL_YEAR")
-    return welch(
-        df, "post_vs_pre_pandemic", "ARR_DELAY", year.isin(*POST_YEARS), year.isin(*PRE_YEARS), "greater", alpha
-    )
+    return Comparison("post_vs_pre_pandemic", "ARR_DELAY", year.isin(*POST_YEARS), year.isin(*PRE_YEARS), "greater")
+
+
+def welch_weekend(df: DataFrame, alpha: float = ALPHA) -> DataFrame:
+    """Weekend against weekday delays, two-sided."""
+    return compare(df, [_weekend(df)], alpha)
+
+
+def welch_era(df: DataFrame, alpha: float = ALPHA) -> DataFrame:
+    """Post- against pre-pandemic delays, one-sided; years reach the scan as a filter."""
+    return compare(df, [_era(df)], alpha)
 
 
 def era(year: Column) -> Column:
@@ -103,4 +127,5 @@ def era(year: Column) -> Column:
 
 
 def run_all_tests(df: DataFrame, alpha: float = ALPHA) -> DataFrame:
-    return welch_weekend(df, alpha).unionByName(welch_era(df, alpha))
+    """Both tests from one scan."""
+    return compare(df, [_weekend(df), _era(df)], alpha)

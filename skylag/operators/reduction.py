@@ -1,7 +1,7 @@
 """Principal components of a handful of columns over any number of rows.
 
-The data-sized work is two aggregates over the complete rows: the means, then
-the sums of centred products. The eigenvectors of the resulting columns-by-columns matrix are found on
+The data-sized work is one scan of the complete rows, whose tasks keep means
+and centred products that are then merged. The eigenvectors of the resulting columns-by-columns matrix are found on
 the driver, and scores are plain column arithmetic.
 """
 
@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from itertools import combinations_with_replacement
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import label_view
 from ..schema import COMPONENT_DEFAULTS, complete, present, require
-from .relations import centres
+from .relations import pair_moments
 
 # Columns whose values colour the component views.
 LABEL_VIEWS = {
@@ -53,15 +52,11 @@ def fit_components(df: DataFrame, columns: Sequence[str] | None = None) -> Compo
     if len(columns) < 2:
         raise ValueError("at least two feature columns are needed")
     rows = complete(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
-    n, means, _ = centres(rows, columns)
+    found = pair_moments(rows, columns)
+    n = found.counts[0, 0]
     if n < 2:
         raise ValueError("at least two complete rows are needed")
-    pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    centred = [F.col(c) - F.lit(means[c]) for c in columns]
-    products = rows.agg(*[F.sum(centred[i] * centred[j]).alias(f"p{i}_{j}") for i, j in pairs]).first()
-    matrix = np.zeros((len(columns), len(columns)))
-    for i, j in pairs:
-        matrix[i, j] = matrix[j, i] = products[f"p{i}_{j}"] / (n - 1)
+    matrix = found.products / (n - 1)
     values, vectors = np.linalg.eigh(matrix)
     order = np.argsort(values)[::-1]
     loadings = []
@@ -71,7 +66,7 @@ def fit_components(df: DataFrame, columns: Sequence[str] | None = None) -> Compo
         lead = int(np.argmax(size >= size.max() - 1e-9))
         loadings.append([float(x) for x in (vector if vector[lead] > 0 else -vector)])
     variances = [float(max(values[p], 0.0)) for p in order]
-    return Components(columns, [means[c] for c in columns], variances, loadings)
+    return Components(columns, [float(m) for m in found.means.diagonal()], variances, loadings)
 
 
 def variance_table(df: DataFrame, fitted: Components) -> DataFrame:

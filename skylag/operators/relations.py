@@ -1,10 +1,12 @@
-"""Correlations, covariances and straight-line fits, each in one aggregate."""
+"""Correlations and covariances from merged co-moments, and straight-line fits, each in one scan."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+import math
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,86 +14,81 @@ from ..functions.student_t import upper_critical
 from ..schema import CORRELATED_COLUMNS, complete, present, require
 from .cleaning import clip_columns
 from .distributions import DELAY_RANGE
+from .partials import merged_moments, moments, sweep, wide
 
 
 def _real(name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def _long_matrix(wide: DataFrame, columns: Sequence[str], value: str) -> DataFrame:
-    """The one-row aggregate as rows ``(var1, var2, value)``, both halves."""
-    cells = [
-        f"{_text(a)}, {_text(b)}, m_{min(i, j)}_{max(i, j)}"
-        for i, a in enumerate(columns)
-        for j, b in enumerate(columns)
-    ]
-    return wide.selectExpr(f"stack({len(cells)}, {', '.join(cells)}) AS (var1, var2, {value})")
+@dataclass(frozen=True)
+class CoMoments:
+    """Counts, means and centred sums of products of every two columns over the rows in which both are known.
 
+    ``means[i][j]`` is the mean of column i, ``squares[i][j]`` its centred sum
+    of squares, over the rows in which column j is known too.
+    """
 
-def _text(name: str) -> str:
-    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    columns: list[str]
+    counts: np.ndarray
+    means: np.ndarray
+    squares: np.ndarray
+    products: np.ndarray
 
+    def covariance(self, i: int, j: int) -> float | None:
+        return self.products[i, j] / (self.counts[i, j] - 1) if self.counts[i, j] > 1 else None
 
-def centres(df: DataFrame, columns: Sequence[str]) -> tuple[int, dict[str, float], set[str]]:
-    """Row count, column means and the columns that have missing values."""
-    measures = [F.count(F.lit(1)).alias("rows")]
-    for i, c in enumerate(columns):
-        measures += [F.avg(_real(c)).alias(f"m{i}"), F.count(F.col(c)).alias(f"n{i}")]
-    row = df.agg(*measures).first()
-    means = {c: row[f"m{i}"] or 0.0 for i, c in enumerate(columns)}
-    return row["rows"], means, {c for i, c in enumerate(columns) if row[f"n{i}"] < row["rows"]}
+    def correlation(self, i: int, j: int) -> float | None:
+        """None beside a constant column: a mean square that is rounding noise of the mean counts as zero."""
+        n, x, y = self.counts[i, j], self.squares[i, j], self.squares[j, i]
+        if not (x > n * (abs(self.means[i, j]) * 1e-14) ** 2 and y > n * (abs(self.means[j, i]) * 1e-14) ** 2):
+            return None
+        return 1.0 if i == j else self.products[i, j] / (math.sqrt(x) * math.sqrt(y))
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED_COLUMNS) -> DataFrame:
-    """Pearson matrix over pairwise complete rows; NULL beside a constant column.
+def comoments(partials: DataFrame, columns: Sequence[str], numbers: Sequence[int] | None = None) -> CoMoments:
+    """The merged pair moments of a sweep: columns squared rows, as matrices.
 
-    Values are centred by a first pass, so that the second needs nothing but
-    sums of products. A pair without missing values shares the squares of its
-    columns; only pairs that do have gaps sum their own.
+    ``numbers`` are the swept columns to take, all by default.
     """
+    numbers = list(range(len(columns)) if numbers is None else numbers)
+    place = {k: i for i, k in enumerate(numbers)}
+    counts, means, squares, products = (np.zeros((len(numbers),) * 2) for _ in range(4))
+    for r in merged_moments(partials.where(F.col("i").isin(numbers) & F.col("j").isin(numbers))).collect():
+        at = place[r["i"]], place[r["j"]]
+        counts[at], means[at], squares[at], products[at] = r["n"], r["x"], max(r["xx"], 0.0), r["xy"]
+    # both halves alike to the last bit
+    products = np.triu(products) + np.triu(products, 1).T
+    return CoMoments(list(columns), counts, means, squares, products)
+
+
+def pair_moments(df: DataFrame, columns: Sequence[str]) -> CoMoments:
+    """One scan: every task keeps counts, means and centred products, and those of all tasks are merged."""
+    return comoments(sweep(wide(df, columns), moments(pairs=True)), columns)
+
+
+def _matrix_table(df: DataFrame, found: CoMoments, cell: Callable[[int, int], float | None], value: str) -> DataFrame:
+    rows = [(a, b, None if (v := cell(i, j)) is None else float(v)) for i, a in enumerate(found.columns) for j, b in enumerate(found.columns)]
+    return df.sparkSession.createDataFrame(rows, f"var1 string, var2 string, {value} double")
+
+
+def correlation_table(df: DataFrame, found: CoMoments) -> DataFrame:
+    return _matrix_table(df, found, found.correlation, "corr")
+
+
+def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED_COLUMNS) -> DataFrame:
+    """Pearson matrix over pairwise complete rows, from one scan; NULL beside a constant column."""
     columns = present(df, columns)
     if not columns:
         raise ValueError("none of the columns exists")
-    _, means, gaps = centres(df, columns)
-    centred = df.select(*[(_real(c) - F.lit(means[c])).alias(f"v{i}") for i, c in enumerate(columns)])
-    sums: dict[str, str] = {"n": "count(1)"}
-    cells: list[str] = []
-    for i, a in enumerate(columns):
-        sums[f"s_{i}"] = f"sum(v{i} * v{i})"
-        sums[f"n_{i}"] = f"count(v{i})"
-        cells.append(f"CASE WHEN s_{i} > n_{i} * {_noise(means[a])} THEN 1.0D END AS m_{i}_{i}")
-    for (i, a), (j, b) in combinations(enumerate(columns), 2):
-        name = f"{i}_{j}"
-        sums[f"p_{name}"] = f"sum(v{i} * v{j})"
-        if a in gaps or b in gaps:
-            both = f"FILTER (WHERE v{i} IS NOT NULL AND v{j} IS NOT NULL)"
-            sums[f"n_{name}"] = f"count(1) {both}"
-            for mark, term in (("x", f"v{i}"), ("y", f"v{j}"), ("a", f"v{i} * v{i}"), ("b", f"v{j} * v{j}")):
-                sums[f"{mark}_{name}"] = f"sum({term}) {both}"
-            cov = f"(p_{name} - try_divide(x_{name} * y_{name}, n_{name}))"
-            var_x = f"(a_{name} - try_divide(x_{name} * x_{name}, n_{name}))"
-            var_y = f"(b_{name} - try_divide(y_{name} * y_{name}, n_{name}))"
-            count = f"n_{name}"
-        else:
-            cov, var_x, var_y, count = f"p_{name}", f"s_{i}", f"s_{j}", "n"
-        varies = f"{var_x} > {count} * {_noise(means[a])} AND {var_y} > {count} * {_noise(means[b])}"
-        cells.append(f"CASE WHEN {varies} THEN {cov} / (sqrt({var_x}) * sqrt({var_y})) END AS m_{name}")
-    wide = centred.agg(*[F.expr(text).alias(name) for name, text in sums.items()])
-    return _long_matrix(wide.selectExpr(*cells), columns, "corr")
-
-
-def _noise(mean: float) -> str:
-    """A mean square up to here is rounding noise of a constant column."""
-    return f"{(abs(mean) * 1e-14) ** 2!r}D"
+    return correlation_table(df, pair_moments(df, columns))
 
 
 def covariance_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Sample covariances over pairwise complete rows."""
+    """Sample covariances over pairwise complete rows, from one scan; NULL below two rows."""
     require(df, columns)
-    measures = [F.covar_samp(_real(a), _real(a)).alias(f"m_{i}_{i}") for i, a in enumerate(columns)]
-    for (i, a), (j, b) in combinations(enumerate(columns), 2):
-        measures.append(F.covar_samp(_real(a), _real(b)).alias(f"m_{i}_{j}"))
-    return _long_matrix(df.agg(*measures), columns, "cov")
+    found = pair_moments(df, columns)
+    return _matrix_table(df, found, found.covariance, "cov")
 
 
 def fit_line(

@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+BLOCK_BYTES = 8 << 20  # row groups of stored tables: the least that a later pass may hand to a task
+
 
 def local_session(app: str = "skylag", cpus: int | str = 8, memory: str = "16g") -> SparkSession:
     """A session for tests, benches and laptops; clusters bring their own."""
@@ -65,5 +67,5 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", BLOCK_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

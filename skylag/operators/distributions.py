@@ -41,7 +41,7 @@ def _matched(fits: DataFrame, found: DataFrame, *more: str) -> DataFrame:
     return fits.join(other, same, "left")
 
 
-def _named(columns: Sequence[str]):
+def named(columns: Sequence[str]):
     """The column's name from its number."""
     return F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("i") + 1)
 
@@ -53,12 +53,12 @@ def bin_edges(totals: DataFrame, bins: int) -> DataFrame:
     return totals.select("i", lo.alias("lo"), ((hi - lo) / F.lit(float(bins))).alias("width"))
 
 
-def binned(edges: DataFrame, partials: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
+def binned(edges: DataFrame, partials: DataFrame, columns: Sequence[str], bins: int, name: str = "bins") -> DataFrame:
     """The histogram table of counted bins, empty ones with zero."""
     grid = edges.withColumn("j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))))
     low = F.col("lo") + F.col("width") * F.col("j")
-    return _matched(grid, merged(partials, "bins"), "j").select(
-        _named(columns).alias("column"),
+    return _matched(grid, merged(partials, name), "j").select(
+        named(columns).alias("column"),
         F.col("j").cast("int").alias("bin"),
         low.alias("bin_low"),
         (F.col("lo") + F.col("width") * (F.col("j") + 1)).alias("bin_high"),
@@ -114,12 +114,12 @@ def curve_fits(totals: DataFrame, grid: int, cut: float, rule: str) -> DataFrame
     return fits.select(*keys, "n", lo.alias("lo"), ((hi - lo) / F.lit(grid - 1)).alias("step"), "bw")
 
 
-def curve_points(fits: DataFrame, partials: DataFrame, grid: int) -> DataFrame:
+def curve_points(fits: DataFrame, partials: DataFrame, grid: int, name: str = "curves") -> DataFrame:
     """(g, i, point, x, density): every grid point, zero where no value reaches it."""
     keys = [c for c in ("g", "i") if c in fits.columns]
     points = fits.withColumn("j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(grid - 1).cast("bigint"))))
     norm = F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi))
-    return _matched(points, merged(partials, "curves"), "j").select(
+    return _matched(points, merged(partials, name), "j").select(
         *keys,
         F.col("j").cast("int").alias("point"),
         (F.col("lo") + F.col("step") * F.col("j")).alias("x"),
@@ -177,7 +177,7 @@ def numeric_densities(df: DataFrame, columns: Sequence[str] = NUMERIC, grid: int
         raise ValueError("none of the columns exists")
     df = clip_columns(df, {"ARR_DELAY": DELAY_RANGE} if "ARR_DELAY" in columns else {})
     out = _densities(materialise(wide(df, columns), "columns"), grid, 0.0, rule)
-    return out.select(_named(columns).alias("column"), "point", "x", "density")
+    return out.select(named(columns).alias("column"), "point", "x", "density")
 
 
 def fences(quartiles: DataFrame) -> DataFrame:
@@ -194,7 +194,7 @@ def whiskers(boxes: DataFrame, partials: DataFrame, columns: Sequence[str]) -> D
     """The box table: quartiles, extreme values inside the fences, and how many lie beyond."""
     g = ["g"] if "g" in boxes.columns else []
     return _matched(boxes, merged(partials, "whiskers")).select(
-        *g, _named(columns).alias("column"), "q1", "median", "q3", F.col("found_low").alias("whisker_low"),
+        *g, named(columns).alias("column"), "q1", "median", "q3", F.col("found_low").alias("whisker_low"),
         F.col("found_high").alias("whisker_high"), F.col("found_n").alias("outliers"), "n",
     )
 

@@ -250,11 +250,17 @@ class Part:
 
     ``settings`` are rows of the column's number and up to three doubles, or
     such lists by group. None: the kind needs none, or they come as a table.
+    ``name`` tells two parts of one kind in one scan apart.
     """
 
     kind: str
     options: dict
     settings: Sequence[tuple] | dict | None = None
+    name: str | None = None
+
+    @property
+    def label(self) -> str:
+        return self.name or self.kind
 
 
 def moments(pairs: bool = False) -> Part:
@@ -289,7 +295,7 @@ def sweep(rows: DataFrame, *parts: Part, settings: DataFrame | None = None) -> D
     """
     grouped = "g" in rows.columns
     width = len(rows.columns) - grouped
-    kinds = [p.kind for p in parts]
+    kinds = [p.label for p in parts]
     joined = settings is not None
     used = list(range(width))
     if not joined and all(p.settings is not None for p in parts):
@@ -304,7 +310,7 @@ def sweep(rows: DataFrame, *parts: Part, settings: DataFrame | None = None) -> D
         out = []
         for p in parts:
             if own is not None:
-                chosen = [(s["i"], s["a"], s["b"], s["c"]) for s in own if s["kind"] == p.kind]
+                chosen = [(s["i"], s["a"], s["b"], s["c"]) for s in own if s["kind"] == p.label]
             elif isinstance(p.settings, dict):
                 chosen = p.settings.get(key)
             else:

@@ -110,6 +110,22 @@ def fit_line(
         F.min(F.when(a.isNotNull(), b)).alias("min_x"),
         F.max(F.when(a.isNotNull(), b)).alias("max_x"),
     )
+    return _with_errors(sums)
+
+
+def line_of(df: DataFrame, found: CoMoments, x: int, y: int, low: float | None, high: float | None) -> DataFrame:
+    """The row of :func:`fit_line` from merged co-moments; x is null where y is, low and high are its extremes."""
+    n, sxx, syy, sxy = int(found.counts[x, y]), found.squares[x, y], found.squares[y, x], found.products[x, y]
+    mean_x, mean_y = found.means[x, y], found.means[y, x]
+    slope = sxy / sxx if n > 1 and sxx > 0 else None
+    intercept = None if slope is None else mean_y - slope * mean_x
+    r2 = None if slope is None else (sxy * sxy / (sxx * syy) if syy > 0 else 1.0)
+    row = [None if v is None else float(v) for v in (slope, intercept, r2, sxx, syy, mean_x, low, high)]
+    schema = "n bigint, slope double, intercept double, r2 double, sxx double, syy double, mean_x double, min_x double, max_x double"
+    return _with_errors(df.sparkSession.createDataFrame([(n, *row)], schema))
+
+
+def _with_errors(sums: DataFrame) -> DataFrame:
     residual = F.greatest(F.col("syy") - F.col("slope") * F.col("slope") * F.col("sxx"), F.lit(0.0))
     fitted = sums.withColumn(
         "residual_se", F.when(F.col("n") > 2, F.sqrt(F.try_divide(residual, F.col("n") - 2)))

@@ -6,6 +6,10 @@ and repeats the steps of its query without using any of the library.
 
 from __future__ import annotations
 
+import math
+
+from .shapes import REPORT
+
 FLIGHTS = """flights AS (
 SELECT
   concat_ws('-', CAST(l.l_orderkey AS STRING), CAST(l.l_linenumber AS STRING),
@@ -247,9 +251,15 @@ def _histogram(columns: dict[str, str], bins: int) -> str:
     return on_clean(body, _values(columns), lims, hits)
 
 
-def _density(columns: dict[str, str], select: str, key: str = "NULL", grid: int = 200, cut: float = 0.0) -> str:
+_SCOTT = "stddev_samp(v)"
+_NRD0 = "0.9::DOUBLE * least(stddev_samp(v), (quantile_cont(v, 0.75) - quantile_cont(v, 0.25)) / 1.34::DOUBLE)"
+
+
+def _density(
+    columns: dict[str, str], select: str, key: str = "NULL", grid: int = 200, cut: float = 0.0, spread: str = _SCOTT
+) -> str:
     stats = (
-        "st AS (SELECT col, k, count(*) AS n, stddev_samp(v) * pow(count(*), -0.2::DOUBLE) AS bw, min(v) AS lo0, "
+        f"st AS (SELECT col, k, count(*) AS n, {spread} * pow(count(*), -0.2::DOUBLE) AS bw, min(v) AS lo0, "
         "max(v) AS hi0 FROM vals GROUP BY col, k)"
     )
     ends = (
@@ -325,6 +335,62 @@ def _band(x: str) -> str:
     )
 
 
+def _resampled(x: str, replicates: int = 200) -> str:
+    """A weighted fit for every replicate; weights from the same hash numbers, by the terms of the Poisson(1) law."""
+    ends, total = [], 0.0
+    for k in range(11):
+        total += math.exp(-1) / math.factorial(k)
+        ends.append(round(2**32 * total))
+    weight = " + ".join(f"CASE WHEN u >= {e} THEN 1 ELSE 0 END" for e in ends)
+    steps = f"""seeded AS (
+SELECT CAST('0x' || substr(h, 1, 8) AS BIGINT) AS a, CAST('0x' || substr(h, 9, 8) AS BIGINT) | 1 AS b, x - avg(x) OVER () AS x, y - avg(y) OVER () AS y, x AS raw
+FROM (SELECT md5(FLIGHT_ID || '|42') AS h, CAST({x} AS DOUBLE) AS x, {_clip('ARR_DELAY', -60, 180)} AS y FROM clean)
+), weighted AS (
+SELECT r, x, y, {weight} AS w FROM (SELECT g.range AS r, x, y, (a + g.range * b) % 4294967296 AS u FROM seeded CROSS JOIN range({replicates}) g)
+), sums AS (
+SELECT r, sum(w) AS n, sum(w * x) AS sx, sum(w * y) AS sy, sum(w * x * x) AS sxx, sum(w * x * y) AS sxy FROM weighted GROUP BY r
+), lines AS (
+SELECT (sxy - sx * sy / n) / (sxx - sx * sx / n) AS slope, sy / n - (sxy - sx * sy / n) / (sxx - sx * sx / n) * sx / n AS height FROM sums
+), ends AS (
+SELECT min(raw) AS lo, max(raw) AS hi, avg(raw) AS mx FROM seeded
+), fitted AS (
+SELECT regr_slope(y, x) AS slope, (SELECT avg({_clip('ARR_DELAY', -60, 180)}) FROM clean) AS my FROM seeded
+)"""
+    return on_clean(
+        "SELECT CAST(p AS INTEGER) AS point, round(any_value(spot), 6) AS x, round(any_value(my + fitted.slope * (spot - mx)), 6) AS fit, "
+        "round(quantile_cont(my + height + lines.slope * (spot - mx), 0.025), 6) AS low, "
+        "round(quantile_cont(my + height + lines.slope * (spot - mx), 0.975), 6) AS high "
+        "FROM (SELECT g.range AS p, lo + (hi - lo) / 79.0::DOUBLE * g.range AS spot, mx FROM ends CROSS JOIN range(80) g) "
+        "CROSS JOIN fitted CROSS JOIN lines GROUP BY p",
+        steps,
+    )
+
+
+def _full_summary() -> str:
+    kinds = dict.fromkeys(RAW_NUMERIC, "double") | {"FLIGHT_ID": "string", "FL_DATE": "date", "ORIGIN_CITY": "string", "DEST_CITY": "string"}
+    kinds |= {"DOT_CODE": "bigint", "CRS_DEP_TIME": "bigint", "CRS_ARR_TIME": "bigint"}
+    rows = []
+    columns = [c.strip() for c in RAW_COLUMNS.split(",")]
+    for i, c in enumerate(columns):
+        number, text = c in RAW_NUMERIC, kinds[c] == "string"
+        said = f"(SELECT {{}} FROM (SELECT {c} AS v, count(*) AS k FROM flights WHERE {c} IS NOT NULL GROUP BY 1))"
+        parts = [
+            f"CAST({i} AS INTEGER) AS position, '{c}' AS \"column\", '{kinds[c]}' AS type, count(*) AS rows, CAST({len(columns)} AS INTEGER) AS columns",
+            f"count(*) - count({c}) AS missing, count({c}) AS count",
+            said.format("count(*)") + ' AS "unique"' if text else 'CAST(NULL AS BIGINT) AS "unique"',
+            said.format("arg_min(v, (-k, v))") + " AS top" if text else "CAST(NULL AS STRING) AS top",
+            said.format("max(k)") + " AS freq" if text else "CAST(NULL AS BIGINT) AS freq",
+        ]
+        measures = {
+            "mean": f"avg({c})", "std": f"stddev_samp(CAST({c} AS DOUBLE))", "min": f"min({c})",
+            "q25": f"quantile_cont(CAST({c} AS DOUBLE), 0.25)", "q50": f"quantile_cont(CAST({c} AS DOUBLE), 0.5)",
+            "q75": f"quantile_cont(CAST({c} AS DOUBLE), 0.75)", "max": f"max({c})",
+        }
+        parts += [f"{f'round(CAST({e} AS DOUBLE), 6)' if number else 'CAST(NULL AS DOUBLE)'} AS {m}" for m, e in measures.items()]
+        rows.append(f"SELECT {', '.join(parts)} FROM flights")
+    return on_flights("\nUNION ALL\n".join(rows))
+
+
 def _welch(name: str, first: str, second: str, alternative: str, prefix: str = "") -> tuple[str, str]:
     """Shared steps and final select of one test."""
     p = prefix
@@ -386,6 +452,37 @@ SELECT zs.*, za * p.x + zd * p.y + ze * p.z AS PC1, za * s.x + zd * s.y + ze * s
 FROM zs
 CROSS JOIN (SELECT * FROM unit WHERE i = 1) p CROSS JOIN (SELECT * FROM unit WHERE i = 2) s
 )"""
+# Eigenvalues of the 7 x 7 covariance by Jacobi rotations, one pair of columns a step.
+PARTS = ("AVG_SPEED", "DISTANCE", "CRS_ELAPSED_TIME", *CLEAN_REAL[1:])
+
+
+def _jacobi(columns: tuple[str, ...], source: str, sweeps: int = 12) -> str:
+    n = len(columns)
+    pairs = [(p, q) for p in range(n) for q in range(p + 1, n)]
+    cells = ", ".join(f"covar_samp({a}, {b})" for a in columns for b in columns)
+    at = lambda i, j: f"m[({i}) * {n} + ({j}) + 1]"
+    k = f"(step % {len(pairs)} + 1)"
+    p, q = (f"[{', '.join(str(x[i]) for x in pairs)}][{k}]" for i in (0, 1))
+    turned = "CASE WHEN {j} = p THEN c * {a} - s * {b} WHEN {j} = q THEN s * {a} + c * {b} ELSE {m} END"
+    columns_turned = turned.format(j=f"(x % {n})", a=at(f"x // {n}", "p"), b=at(f"x // {n}", "q"), m="m[x + 1]")
+    rows_turned = turned.format(j=f"(x // {n})", a=at("p", f"x % {n}"), b=at("q", f"x % {n}"), m="m[x + 1]")
+    return f"""turns AS (
+  SELECT 0 AS step, [{cells}] AS m FROM {source}
+  UNION ALL
+  SELECT step + 1, list_transform(range({n * n}), lambda x: {rows_turned}) AS m FROM (
+    SELECT step, p, q, c, s, list_transform(range({n * n}), lambda x: {columns_turned}) AS m FROM (
+      SELECT *, 1 / sqrt(1 + t * t) AS c, t / sqrt(1 + t * t) AS s FROM (
+        SELECT *, CASE WHEN {at("p", "q")} = 0 THEN 0 ELSE CASE WHEN theta >= 0 THEN 1 ELSE -1 END / (abs(theta) + sqrt(theta * theta + 1)) END AS t FROM (
+          SELECT *, CASE WHEN {at("p", "q")} = 0 THEN 0 ELSE ({at("q", "q")} - {at("p", "p")}) / (2 * {at("p", "q")}) END AS theta FROM (
+            SELECT *, {p} AS p, {q} AS q FROM turns WHERE step < {sweeps * len(pairs)}
+  )))))
+), values_found AS (
+  SELECT unnest([{", ".join(at(i, i) for i in range(n))}]) AS lam FROM turns WHERE step = {sweeps * len(pairs)}
+), placed AS (
+  SELECT lam, row_number() OVER (ORDER BY lam DESC) AS i FROM values_found
+)"""
+
+
 _VIEWS = (
     ("Delay", "CASE WHEN ARR_DELAY <= 0 THEN 'On-time / Early' WHEN ARR_DELAY <= 15 THEN 'Minor delay' "
               "WHEN ARR_DELAY <= 60 THEN 'Moderate delay' ELSE 'Long delay' END"),
@@ -418,36 +515,63 @@ def _event_box() -> str:
     return _box({"value": "value"}, "vals.k AS event_type, ", "event_type", "events", lambda body, *more: "WITH " + ",\n".join(more) + "\n" + body)
 
 
+REPORT_TEXTS = {
+    "describe_numeric": "describe_clean",
+    "describe_text": "summary_categorical",
+    "delay_histogram": "delay_histogram",
+    "delay_density": "delay_kde",
+    "numeric_histograms": "numeric_histograms",
+    "numeric_densities": "numeric_kde",
+    "box_stats": "box_stats",
+    "cyclical_points": "cyclical_points",
+    "correlation_matrix": "correlation_matrix",
+    "delay_by_weekday": "delay_by_dow",
+    "delay_rate_by_weekday": "delay_rate_by_dow",
+    "delay_by_month": "delay_by_month",
+    "delay_vs_distance": "fit_delay_distance",
+    "delay_vs_elapsed": "fit_delay_elapsed",
+    "delay_by_weekday_and_month": "delay_month_dow",
+    "delay_by_time_and_month": "delay_timebin_month",
+    "delay_by_time_of_day": "delay_by_timebin",
+    "route_delay_rate": "route_delay_rate",
+    "season_box": "season_box",
+    "season_density": "season_kde",
+    "origin_volume": "origin_volume_delay",
+    "top_airlines": "top_airlines",
+    "top_origins": "top_origins",
+    "top_destinations": "top_dests",
+}
+
+
+def _contents(texts: dict[str, str]) -> str:
+    """Every value of every report table, by the query that has the table."""
+    rows = []
+    for table, (keys, digits) in REPORT.items():
+        place = "concat_ws('|', " + ", ".join(f'CAST("{k}" AS STRING)' for k in keys) + ")" if keys else "''"
+        names = ", ".join(f"'{m}'" for m in digits)
+        values = ", ".join(f'CAST("{m}" AS DOUBLE)' for m in digits)
+        rows.append(
+            f"SELECT '{table}' AS table_name, {place} AS place, unnest([{names}]) AS measure, unnest([{values}]) AS value "
+            f"FROM ({texts[REPORT_TEXTS[table]]})"
+        )
+    return "\nUNION ALL\n".join(rows)
+
+
+# The clean rows with small delays as none, and as many of the zero delays as there are others.
+_BALANCED = CLEAN.replace("clean AS (", "every AS (", 1) + """, minor AS (
+SELECT * REPLACE (CASE WHEN ARR_DELAY <= 15 THEN CAST(0 AS DOUBLE) ELSE ARR_DELAY END AS ARR_DELAY) FROM every
+), clean AS (
+SELECT * EXCLUDE (rn, other) FROM (
+  SELECT *, row_number() OVER (PARTITION BY ARR_DELAY = 0 ORDER BY md5(FLIGHT_ID || '|48'), FLIGHT_ID) AS rn,
+    count(*) FILTER (WHERE ARR_DELAY <> 0) OVER () AS other FROM minor
+) WHERE ARR_DELAY <> 0 OR rn <= other
+)"""
+
+
 def _index(texts: dict[str, str]) -> str:
-    names = {
-        "describe_numeric": "describe_clean",
-        "describe_text": "summary_categorical",
-        "delay_histogram": "delay_histogram",
-        "delay_density": "delay_kde",
-        "numeric_histograms": "numeric_histograms",
-        "numeric_densities": "numeric_kde",
-        "box_stats": "box_stats",
-        "cyclical_points": "cyclical_points",
-        "correlation_matrix": "correlation_matrix",
-        "delay_by_weekday": "delay_by_dow",
-        "delay_rate_by_weekday": "delay_rate_by_dow",
-        "delay_by_month": "delay_by_month",
-        "delay_vs_distance": "fit_delay_distance",
-        "delay_vs_elapsed": "fit_delay_elapsed",
-        "delay_by_weekday_and_month": "delay_month_dow",
-        "delay_by_time_and_month": "delay_timebin_month",
-        "delay_by_time_of_day": "delay_by_timebin",
-        "route_delay_rate": "route_delay_rate",
-        "season_box": "season_box",
-        "season_density": "season_kde",
-        "origin_volume": "origin_volume_delay",
-        "top_airlines": "top_airlines",
-        "top_origins": "top_origins",
-        "top_destinations": "top_dests",
-    }
     # Metrics of the missing-value table: one per column and four totals.
     rows = [f"SELECT 'missing_values' AS table_name, CAST({len(CLEAN_EXACT) + len(CLEAN_REAL) + 4} AS BIGINT) AS rows"]
-    rows += [f"SELECT '{table}', (SELECT count(*) FROM ({texts[name]}))" for table, name in names.items()]
+    rows += [f"SELECT '{table}', (SELECT count(*) FROM ({texts[name]}))" for table, name in REPORT_TEXTS.items()]
     return "\nUNION ALL\n".join(rows)
 
 
@@ -530,6 +654,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "missing_report": _missing(),
         "summary_categorical": _text_summary(),
+        "summary_full": _full_summary(),
+        "resampled_band_distance": _resampled("DISTANCE"),
+        "resampled_band_elapsed": _resampled("CRS_ELAPSED_TIME"),
         "delay_by_dow": _mean("FL_DAY_OF_WEEK"),
         "delay_rate_by_dow": _mean("FL_DAY_OF_WEEK", "rate"),
         "delay_by_month": _mean("FL_MONTH"),
@@ -566,6 +693,8 @@ def oracle_sql() -> dict[str, str]:
         "numeric_kde": _density(NUMERIC, 'en.col AS "column", '),
         "box_stats": _box(BOXED, 'vals.col AS "column", '),
         "season_box": _box(delay_view, 'vals.k AS "SEASON", vals.col AS "column", ', "SEASON"),
+        "delay_kde_nrd0": _density(delay_view, "", spread=_NRD0),
+        "season_kde_nrd0": _density(delay_view, 'en.k AS "SEASON", ', "SEASON", 100, 2.0, _NRD0),
         "season_kde": _density(delay_view, 'en.k AS "SEASON", ', "SEASON", 100, 2.0),
         "fit_delay_distance": _fit_row("DISTANCE"),
         "fit_delay_elapsed": _fit_row("CRS_ELAPSED_TIME"),
@@ -591,6 +720,12 @@ def oracle_sql() -> dict[str, str]:
             "UNION ALL SELECT 'DEST_CITY', v, code FROM dest_codes",
         ),
         "encode_test": _with(5, _ENCODED.format(more="") + " WHERE s.part = 'test'"),
+        "encode_unseen": on_clean(
+            _ENCODED.format(more=""),
+            "split AS (SELECT *, CASE WHEN len(string_split(ROUTE, '_')) = 2 THEN array_to_string(list_sort(string_split(ROUTE, '_')), '_') "
+            "ELSE ROUTE END AS canon, CASE WHEN FL_MONTH <= 4 AND DOT_CODE < 2 AND FL_DAY_OF_WEEK = 1 THEN 'train' END AS part FROM clean)",
+            CODES,
+        ),
         "scale_numeric": _with(6, f"SELECT s.FLIGHT_ID, s.part, {_ZSCORES} FROM split s CROSS JOIN scaler"),
         "balanced_sample": on_clean(
             "SELECT FLIGHT_ID, ARR_DELAY FROM (SELECT *, row_number() OVER (PARTITION BY ARR_DELAY = 0 ORDER BY md5(FLIGHT_ID || '|48'), FLIGHT_ID) AS rn, "
@@ -633,6 +768,15 @@ def oracle_sql() -> dict[str, str]:
             _SCORES,
         ),
         "pca_delay_points": on_clean("SELECT ARR_DELAY AS label, round(PC1, 6) AS PC1, round(PC2, 6) AS PC2 FROM scores", _PCA, _SCORES),
+        "pca_train_features": _with(
+            6,
+            "SELECT 'PC' || i AS component, round(lam, 6) AS variance, round(lam / sum(lam) OVER (), 6) AS ratio, "
+            "round(sum(lam) OVER (ORDER BY i) / sum(lam) OVER (), 6) AS cumulative FROM placed",
+            "scaled AS (SELECT " + ", ".join(
+                f"(s.{c} - m_{c}) / s_{c} AS {c}" if c in SCALED else f"s.{c}" for c in PARTS
+            ) + " FROM split s CROSS JOIN scaler WHERE s.part = 'train')",
+            _jacobi(PARTS, "scaled"),
+        ).replace("WITH ", "WITH RECURSIVE ", 1),
         "knn_graph": _KNN,
         "knn_blocks": _KNN,
         "clean_pipeline": on_clean(f"SELECT {exact}, {real} FROM clean"),
@@ -648,4 +792,6 @@ def oracle_sql() -> dict[str, str]:
         "events_box": _event_box(),
     }
     texts["report_index"] = _index(texts)
+    texts["report_contents"] = _contents(texts)
+    texts["report_balanced"] = texts["report_contents"].replace(CLEAN, _BALANCED)
     return texts

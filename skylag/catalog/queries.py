@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from ..schema import COMPONENT_DEFAULTS, COMPONENT_FEATURES, NEIGHBOUR_FEATURES
 from ..session import fresh_path, materialise
 from ..sources import star
 from ..sources.files import read_flights_csv, write_csv
+from .shapes import REPORT
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -181,7 +183,7 @@ def _knn_blocks(spark: SparkSession, folder: str) -> DataFrame:
 
 def _minor_as_zero(df: DataFrame) -> DataFrame:
     """Delays of up to a quarter of an hour count as none, so zeros outnumber the rest."""
-    return S.balance_by_delay(df.withColumn("ARR_DELAY", F.when(F.col("ARR_DELAY") <= 15, 0.0).otherwise(F.col("ARR_DELAY"))))
+    return S.balance_by_delay(_minor(df))
 
 
 def _knn_flights(df: DataFrame) -> DataFrame:
@@ -189,9 +191,38 @@ def _knn_flights(df: DataFrame) -> DataFrame:
     return _rounded(knn_graph(model_matrix(df).train, "FLIGHT_ID", list(NEIGHBOUR_FEATURES)))
 
 
+FLOORS = Floors(ROUTE_FLOOR, CITY_FLOOR, AIRLINE_FLOOR)
+
+
 def _report_index(df: DataFrame) -> DataFrame:
-    floors = Floors(ROUTE_FLOOR, CITY_FLOOR, AIRLINE_FLOOR)
-    return write_report(df, fresh_path(df.sparkSession, "report"), floors)
+    return write_report(df, fresh_path(df.sparkSession, "report"), FLOORS)
+
+
+def _report_contents(df: DataFrame, balanced: bool = False) -> DataFrame:
+    """Every value of the written tables: (table_name, place, measure, value)."""
+    spark, folder = df.sparkSession, fresh_path(df.sparkSession, "report")
+    write_report(df, folder, FLOORS, balanced=balanced)
+    tables = []
+    for name, (keys, digits) in REPORT.items():
+        table = spark.read.parquet(f"{folder}/{name}")
+        place = F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("place")
+        values = [F.round(F.col(c).cast("double"), d).alias(c) for c, d in digits.items()]
+        tables.append(table.select(F.lit(name).alias("table_name"), place, *values).unpivot(["table_name", "place"], list(digits), "measure", "value"))
+    return reduce(DataFrame.unionByName, tables)
+
+
+def _minor(df: DataFrame) -> DataFrame:
+    return df.withColumn("ARR_DELAY", F.when(F.col("ARR_DELAY") <= 15, 0.0).otherwise(F.col("ARR_DELAY")))
+
+
+def _encode_unseen(df: DataFrame) -> DataFrame:
+    """Codes fitted on the first four months' routes, applied to all rows: later places are unseen."""
+    early = df.where((F.col("FL_MONTH") <= 4) & (F.col("DOT_CODE") < 2) & (F.col("FL_DAY_OF_WEEK") == 1))
+    return E.apply_codes(df.select("FLIGHT_ID", *CATEGORIES), E.fit_codes(early.select(*CATEGORIES)))
+
+
+def _resampled(x: str) -> Query:
+    return _clean(lambda df: _rounded(R.resampled_band(df, x)))
 
 
 def _line(x: str) -> Query:
@@ -268,6 +299,7 @@ def queries() -> dict[str, Query]:
         # reports and grouped tables
         "missing_report": _raw(lambda df: _rounded(K.missing_report(df))),
         "summary_categorical": _clean(P.describe_text),
+        "summary_full": _raw(lambda df: _rounded(P.full_summary(df))),
         "delay_by_dow": _clean(lambda df: _rounded(A.delay_by_weekday(df))),
         "delay_rate_by_dow": _clean(lambda df: _rounded(A.delay_rate_by_weekday(df))),
         "delay_by_month": _clean(lambda df: _rounded(A.delay_by_month(df))),
@@ -289,11 +321,17 @@ def queries() -> dict[str, Query]:
         "numeric_kde": _clean(lambda df: _shape(D.numeric_densities(df), "column", "point", x=6, density=9)),
         "box_stats": _clean(lambda df: _rounded(D.box_stats(df))),
         "season_box": _clean(lambda df: _rounded(D.season_box(df))),
+        "delay_kde_nrd0": _clean(lambda df: _shape(D.delay_density(df, rule="nrd0"), "point", x=6, density=9)),
+        "season_kde_nrd0": _clean(
+            lambda df: _shape(D.density(df, "ARR_DELAY", "SEASON", 100, 2.0, "nrd0", D.DELAY_RANGE), "SEASON", "point", x=6, density=9)
+        ),
         "season_kde": _clean(lambda df: _shape(D.season_density(df), "SEASON", "point", x=6, density=9)),
         "fit_delay_distance": _line("DISTANCE"),
         "fit_delay_elapsed": _line("CRS_ELAPSED_TIME"),
         "band_delay_distance": _clean(lambda df: _rounded(R.line_band(df, "DISTANCE"))),
         "band_delay_elapsed": _clean(lambda df: _rounded(R.line_band(df, "CRS_ELAPSED_TIME"))),
+        "resampled_band_distance": _resampled("DISTANCE"),
+        "resampled_band_elapsed": _resampled("CRS_ELAPSED_TIME"),
         "points_delay_elapsed": _clean(lambda df: R.point_counts(df, "CRS_ELAPSED_TIME")),
         "points_delay_distance": _clean(lambda df: R.point_counts(df, "DISTANCE")),
         "cyclical_points": _clean(lambda df: _rounded(D.cyclical_points(df))),
@@ -306,6 +344,7 @@ def queries() -> dict[str, Query]:
             "FLIGHT_ID", *CATEGORIES,
         ),
         "encode_test": _stored(_encode_test, "FLIGHT_ID", *CATEGORIES),
+        "encode_unseen": _stored(_encode_unseen, "FLIGHT_ID", "FL_MONTH", "DOT_CODE", "FL_DAY_OF_WEEK", *CATEGORIES),
         "scale_numeric": _stored(_scale, "FLIGHT_ID", *SCALED),
         "balanced_sample": _stored(S.balance_by_delay, "FLIGHT_ID", "ARR_DELAY"),
         "balanced_minor": _stored(_minor_as_zero, "FLIGHT_ID", "ARR_DELAY"),
@@ -332,6 +371,8 @@ def queries() -> dict[str, Query]:
         "clean_pipeline": _clean(lambda df: _shape(df, *[c for c, t in df.dtypes if c not in (*CLOCK, "AVG_SPEED")], **dict.fromkeys((*CLOCK, "AVG_SPEED"), 6))),
         "model_matrix": _stored(_matrix),
         "report_index": _stored(_report_index),
+        "report_contents": _stored(_report_contents),
+        "report_balanced": _stored(lambda df: _report_contents(_minor(df), balanced=True)),
         # the same operators on a table with other column names
         "events_mean": _events_mean,
         "events_box": _events_box,

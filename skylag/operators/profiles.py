@@ -79,3 +79,33 @@ def table_schema(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(
         [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes)], "position int, column string, type string"
     )
+
+
+def full_summary(df: DataFrame) -> DataFrame:
+    """Shape, types, missing values and statistics of all columns, one row per column.
+
+    ``rows`` and ``columns`` are the table's shape. Numeric columns have mean,
+    deviation, extremes and quartiles, text columns distinct values, the most
+    frequent one and its frequency; what does not apply is NULL.
+    """
+    numbers = numeric_columns(df)
+    texts = text_columns(df)
+    others = [c for c in df.columns if c not in (*numbers, *texts)]
+    sizes = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"n{i}") for i, c in enumerate(others)]).first()
+    counted = {c: sizes[f"n{i}"] for i, c in enumerate(others)}
+    known = {r["column"]: r for r in describe_numeric(df, numbers).collect()} if numbers else {}
+    worded = {r["column"]: r for r in describe_text(df, texts).collect()} if texts else {}
+    measures = ("mean", "std", "min", "q25", "q50", "q75", "max")
+    rows = []
+    for i, (name, kind) in enumerate(df.dtypes):
+        number, text = known.get(name), worded.get(name)
+        count = counted.get(name, 0) if name in others else (number or text or {"count": 0})["count"]
+        said = (text["unique"], text["top"], text["freq"]) if text else (0 if name in texts else None, None, None)
+        rows.append(
+            (i, name, kind, sizes["rows"], len(df.columns), sizes["rows"] - count, count, *said, *[number[m] if number else None for m in measures])
+        )
+    return df.sparkSession.createDataFrame(
+        rows,
+        "position int, column string, type string, rows bigint, columns int, missing bigint, count bigint, unique bigint, top string, "
+        "freq bigint, " + ", ".join(f"{m} double" for m in measures),
+    )

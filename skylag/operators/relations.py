@@ -7,11 +7,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.student_t import upper_critical
 from ..schema import CORRELATED_COLUMNS, complete, present, require
+from ..session import cut_lineage, materialise
 from .cleaning import clip_columns
 from .distributions import DELAY_RANGE
 from .partials import merged_moments, moments, sweep, wide
@@ -154,6 +156,90 @@ def line_band(
     return grid.select("point", "x", middle.alias("fit"), (middle - half).alias("low"), (middle + half).alias("high"))
 
 
+# Poisson(1) cumulative probabilities times 2^32; a draw's weight is how many of them it reaches.
+_POISSON = [round(2**32 * math.exp(-1) * sum(1 / math.factorial(i) for i in range(k + 1))) for k in range(11)]
+
+
+def _weight_seeds(id_column: str, seed: int) -> list[Column]:
+    """Two 32-bit numbers of the row's md5: replicate r draws (first + r * second) mod 2^32, second odd.
+
+    Draws of different rows are independent, those of one row in two
+    replicates pairwise so; the same row weighs the same however rows are dealt.
+    """
+    digest = F.md5(F.concat(F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.lit(f"|{seed}")))
+    number = lambda start: F.conv(F.substring(digest, start, 8), 16, 10).cast("bigint")
+    return [number(1).alias("a"), number(9).bitwiseOR(F.lit(1)).alias("b")]
+
+
+def _replicate_sums(rows: DataFrame, replicates: int, mean_x: float, mean_y: float) -> np.ndarray:
+    """Weighted count and sums of x, y, xx, xy about the means for every replicate, in one scan."""
+
+    def run(batches):
+        total = np.zeros((replicates, 5))
+        steps = np.arange(replicates, dtype=np.int64)
+        for batch in batches:
+            a, b, x, y = (batch.column(c).to_numpy() for c in ("a", "b", "x", "y"))
+            x, y = x - mean_x, y - mean_y
+            values = np.stack([np.ones(len(x)), x, y, x * x, x * y], axis=1)
+            for at in range(0, len(x), 4096):
+                draws = (a[at : at + 4096, None] + b[at : at + 4096, None] * steps) & 0xFFFFFFFF
+                weight = np.searchsorted(_POISSON, draws.reshape(-1), "right").reshape(draws.shape)
+                total += weight.T.astype(np.float64) @ values[at : at + 4096]
+        out = {"replicate": pa.array(steps, pa.int32())} | {f"s{k}": pa.array(total[:, k]) for k in range(5)}
+        yield pa.RecordBatch.from_pydict(out)
+
+    partial = rows.mapInArrow(run, "replicate int, s0 double, s1 double, s2 double, s3 double, s4 double")
+    merged_ = partial.groupBy("replicate").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(5)])
+    out = np.zeros((replicates, 5))
+    for r in merged_.collect():
+        out[r["replicate"]] = [r[f"s{k}"] for k in range(5)]
+    return out
+
+
+def resampled_band(
+    df: DataFrame,
+    x: str,
+    y: str = "ARR_DELAY",
+    points: int = 80,
+    clip: tuple[float, float] | None = DELAY_RANGE,
+    id_column: str = "FLIGHT_ID",
+    replicates: int = 200,
+    level: float = 0.95,
+    seed: int = 42,
+) -> DataFrame:
+    """The fitted line on an even grid with a band from a Poisson bootstrap.
+
+    Every row has a Poisson(1) weight in each replicate, drawn from the md5 of
+    its identifier. All replicates' sums come from one scan; the band lies
+    between the interpolated quantiles of the replicates' lines at each point.
+    Replicates without a line (all rows alike or none) are left out; no rows, or
+    a constant x, give no band.
+    """
+    require(df, [x, y, id_column])
+    if clip:
+        df = clip_columns(df, {y: clip})
+    rows = complete(df.select(*_weight_seeds(id_column, seed), _real(x).alias("x"), _real(y).alias("y")), ["x", "y"])
+    rows = materialise(rows, "resampled")
+    partials = cut_lineage(sweep(wide(rows, ["x", "y"]), moments(pairs=True)))
+    found = comoments(partials, ["x", "y"])
+    schema = "point int, x double, fit double, low double, high double"
+    if found.counts[0, 0] < 2 or found.squares[0, 0] <= 0:
+        return df.sparkSession.createDataFrame([], schema)
+    ends = partials.where("i = 0 AND j = 0").agg(F.min("low"), F.max("high")).first()
+    mean_x, mean_y = found.means[0, 0], found.means[1, 1]
+    n, sx, sy, sxx, sxy = _replicate_sums(rows, replicates, float(mean_x), float(mean_y)).T
+    with np.errstate(all="ignore"):
+        slope = (sxy - sx * sy / n) / (sxx - sx * sx / n)
+        at_mean = mean_y + sy / n - slope * sx / n
+    sound = np.isfinite(slope)
+    grid = ends[0] + (ends[1] - ends[0]) / (points - 1) * np.arange(points)
+    lines = at_mean[sound, None] + slope[sound, None] * (grid - mean_x)
+    fit = mean_y + found.products[0, 1] / found.squares[0, 0] * (grid - mean_x)
+    low, high = np.quantile(lines, ((1 - level) / 2, (1 + level) / 2), axis=0) if sound.any() else (np.full(points, np.nan),) * 2
+    table = [(i, *[None if math.isnan(v) else float(v) for v in row]) for i, row in enumerate(zip(grid, fit, low, high))]
+    return df.sparkSession.createDataFrame(table, schema)
+
+
 def point_counts(
     df: DataFrame, x: str, y: str = "ARR_DELAY", clip: tuple[float, float] | None = DELAY_RANGE
 ) -> DataFrame:

@@ -235,3 +235,11 @@ def test_neighbours_skip_missing_features(spark):
     df = spark.createDataFrame([(1, 0.0), (2, None), (3, 1.0)], "id bigint, x double")
     assert {(r["src"], r["dst"]) for r in knn_graph(df, "id", ["x"]).collect()} == {(1, 3), (3, 1)}
     assert knn_graph(df.where("id = 2"), "id", ["x"]).count() == 0
+
+
+def test_unseen_categories_in_the_registered_query(spark):
+    from skylag.catalog.queries import queries
+
+    coded = queries()["encode_unseen"](spark, "/root/testdata/sf0.01")
+    assert coded.where("ROUTE = -1").count() > 0 < coded.where("ROUTE >= 0").count()
+    assert plan(coded).count("BroadcastHashJoin") == 1

@@ -136,3 +136,35 @@ def test_one_scan_feeds_several_kinds(spark):
     assert {r["j"]: r["n"] for r in merged(both, "bins").collect()} == {k: 100 for k in range(10)}
     assert plan(both).count("MapInArrow") == 1
     assert sweep(rows.limit(0), moments()).count() == 0
+
+
+def test_resampled_band(spark):
+    rng = random.Random(8)
+    rows = [(f"r{i}", x := rng.uniform(0, 10), 2 + 3 * x + rng.gauss(0, 4)) for i in range(400)] + [("gap", None, 1.0), ("gap2", 1.0, None)]
+    df = spark.createDataFrame(rows, "FLIGHT_ID string, x double, y double")
+    band = R.resampled_band(df, "x", "y", 20, None, replicates=300).orderBy("point").collect()
+    again = R.resampled_band(df.repartition(5), "x", "y", 20, None, replicates=300).orderBy("point").collect()
+    x, y = np.array([r[1:] for r in rows[:400]]).T
+    slope, intercept = np.polyfit(x, y, 1)
+    analytic = {r["point"]: r for r in R.line_band(df, "x", "y", 20, None).collect()}
+    for r, other in zip(band, again):
+        assert r["fit"] == pytest.approx(intercept + slope * r["x"])
+        assert (r["low"], r["high"]) == pytest.approx((other["low"], other["high"]))
+        wide_ = analytic[r["point"]]["high"] - analytic[r["point"]]["low"]
+        assert r["low"] < r["fit"] < r["high"] and 0.75 * wide_ < r["high"] - r["low"] < 1.25 * wide_
+    assert R.resampled_band(df.limit(0), "x", "y", 20, None).count() == 0
+    flat = df.withColumn("x", F.lit(1.0))
+    assert R.resampled_band(flat, "x", "y", 20, None).count() == 0
+
+
+def test_full_summary(spark):
+    from skylag.operators.profiles import full_summary
+
+    rows = [(1, "b", None, True), (2, "a", 2.0, None), (4, "a", None, True), (None, None, None, None)]
+    got = {r["column"]: r for r in full_summary(spark.createDataFrame(rows, "k int, s string, v double, f boolean")).collect()}
+    assert [(got[c]["missing"], got[c]["count"]) for c in "ksvf"] == [(1, 3), (1, 3), (3, 1), (2, 2)]
+    assert (got["s"]["unique"], got["s"]["top"], got["s"]["freq"]) == (2, "a", 2) and got["k"]["unique"] is None
+    assert (got["k"]["q50"], got["v"]["mean"], got["f"]["mean"]) == (2.0, 2.0, None)
+    assert {(r["rows"], r["columns"]) for r in got.values()} == {(4, 4)}
+    empty = full_summary(spark.createDataFrame([], "k int, s string"))
+    assert [(r["rows"], r["count"], r["unique"]) for r in empty.orderBy("position").collect()] == [(0, 0, None), (0, 0, 0)]

@@ -575,6 +575,23 @@ def _index(texts: dict[str, str]) -> str:
     return "\nUNION ALL\n".join(rows)
 
 
+def _job(texts: dict[str, str]) -> str:
+    """Row counts of the job's tables beside those of the report."""
+    train = "SELECT count(*) FROM split WHERE part = '{}'"
+    tables = {
+        "missing_before": f"SELECT CAST({len(RAW_COLUMNS.split(',')) + 6} AS BIGINT)",
+        "train": train.format("train"),
+        "test": train.format("test"),
+        "component_variance": f"SELECT CAST({len(PARTS)} AS BIGINT)",
+        "component_loadings": f"SELECT CAST({len(PARTS) ** 2} AS BIGINT)",
+        "component_scores": train.format("train"),
+        "component_labels": "SELECT " + " + ".join(f"(SELECT count(DISTINCT {label}) FROM split WHERE part = 'train')" for _, label in _VIEWS),
+        "hypothesis_tests": "SELECT CAST(2 AS BIGINT)",
+    }
+    own = "\nUNION ALL\n".join(f"SELECT '{name}' AS table_name, ({text}) AS rows" for name, text in tables.items())
+    return _with(4, own) + "\nUNION ALL\nSELECT * FROM (" + texts["report_index"] + ")"
+
+
 def oracle_sql() -> dict[str, str]:
     exact = ", ".join(CLEAN_EXACT)
     real = ", ".join(f"round({c}, 6) AS {c}" for c in CLEAN_REAL)
@@ -792,6 +809,11 @@ def oracle_sql() -> dict[str, str]:
         "events_box": _event_box(),
     }
     texts["report_index"] = _index(texts)
+    texts["job_index"] = _job(texts)
+    texts["malformed_rows"] = on_flights(
+        "SELECT 'kept' AS part, count(*) FILTER (WHERE DOT_CODE NOT IN (3, 5)) AS rows FROM flights UNION ALL "
+        "SELECT 'set aside', count(*) FILTER (WHERE DOT_CODE IN (3, 5)) FROM flights"
+    )
     texts["report_contents"] = _contents(texts)
     texts["report_balanced"] = texts["report_contents"].replace(CLEAN, _BALANCED)
     return texts

@@ -22,12 +22,13 @@ from ..operators import sampling as S
 from ..operators.neighbours import knn_graph
 from ..operators.scaling import fit_scaler
 from ..plans.cleaning import clean_flights
+from ..plans.job import run as run_job
 from ..plans.modelling import model_matrix
 from ..plans.report import Floors, write_report
 from ..schema import COMPONENT_DEFAULTS, COMPONENT_FEATURES, NEIGHBOUR_FEATURES
 from ..session import fresh_path, materialise
 from ..sources import star
-from ..sources.files import read_flights_csv, write_csv
+from ..sources.files import load_flights_csv, read_flights_csv, write_csv
 from .shapes import REPORT
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,6 +212,25 @@ def _report_contents(df: DataFrame, balanced: bool = False) -> DataFrame:
     return reduce(DataFrame.unionByName, tables)
 
 
+def _job_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Every table of the end-to-end job with its rows."""
+    raw, target = star.flights(spark, folder), fresh_path(spark, "job")
+    return run_job(raw, target, floors=FLOORS, neighbours=False)
+
+
+def _malformed(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw table exported with some fields spoilt, and what the scan keeps and sets aside."""
+    raw = star.flights(spark, folder).select(*[F.col(c).cast("string").alias(c) for c in ("FLIGHT_ID", "FL_DATE", "CRS_DEP_TIME", "DISTANCE")], "DOT_CODE")
+    spoilt = raw.withColumns(
+        {
+            "FL_DATE": F.when(F.col("DOT_CODE") == 3, "someday").otherwise(F.col("FL_DATE")),
+            "DISTANCE": F.when(F.col("DOT_CODE") == 5, "far").otherwise(F.col("DISTANCE")),
+        }
+    )
+    source = write_csv(spoilt, fresh_path(spark, "spoilt-csv"))
+    return load_flights_csv(spark, source, fresh_path(spark, "kept"), fresh_path(spark, "quarantine"))
+
+
 def _minor(df: DataFrame) -> DataFrame:
     return df.withColumn("ARR_DELAY", F.when(F.col("ARR_DELAY") <= 15, 0.0).otherwise(F.col("ARR_DELAY")))
 
@@ -373,6 +393,8 @@ def queries() -> dict[str, Query]:
         "report_index": _stored(_report_index),
         "report_contents": _stored(_report_contents),
         "report_balanced": _stored(lambda df: _report_contents(_minor(df), balanced=True)),
+        "job_index": _job_index,
+        "malformed_rows": _malformed,
         # the same operators on a table with other column names
         "events_mean": _events_mean,
         "events_box": _events_box,

@@ -277,7 +277,7 @@ def numeric_tables(clean: DataFrame) -> dict[str, DataFrame]:
 
 
 def write_report(
-    clean: DataFrame, folder: str, floors: Floors = Floors(), balanced: bool = False, id_column: str = "FLIGHT_ID"
+    clean: DataFrame, folder: str, floors: Floors = Floors(), balanced: bool = False, id_column: str = "FLIGHT_ID", mode: str = "errorifexists"
 ) -> DataFrame:
     """Write every table below ``folder``; returns ``(table_name, rows)``.
 
@@ -290,7 +290,7 @@ def write_report(
     counted = materialise(tally(source), "tally")
     tables = {**numeric_tables(source), **delay_tables(counted, source, floors)}
     for name in report_tables(floors):
-        tables[name].write.mode("errorifexists").parquet(f"{folder}/{name}")
+        tables[name].write.mode(mode).parquet(f"{folder}/{name}")
     counts = [
         spark.read.parquet(f"{folder}/{name}").agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"))
         for name in report_tables(floors)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,37 +23,85 @@ def normalise_missing(df: DataFrame) -> DataFrame:
     )
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _typed_scan(
+    spark: SparkSession, path: str, types: dict[str, T.DataType] | None, encoding: str, date_format: str, infer: bool, corrupt: bool
+) -> tuple[DataFrame, dict[str, T.DataType]]:
+    """The rows as scanned, whole numbers still doubles, and the wanted type of every column."""
+    options = {"header": True, "encoding": encoding, "mode": "PERMISSIVE", "dateFormat": date_format}
+    if infer:
+        wanted = {f.name: f.dataType for f in spark.read.options(**options, inferSchema=True).csv(path).schema.fields}
+    else:
+        known = types or {**RAW_TYPES, **CLEAN_TYPES}
+        wanted = {name: known.get(name, T.StringType()) for name in spark.read.options(**options).csv(path).columns}
+    whole = (T.LongType, T.IntegerType)
+    fields = [T.StructField(name, T.DoubleType() if isinstance(kind, whole) else kind) for name, kind in wanted.items()]
+    if corrupt:
+        fields.append(T.StructField(CORRUPT, T.StringType()))
+    reader = spark.read.options(**options, columnNameOfCorruptRecord=CORRUPT)
+    return reader.schema(T.StructType(fields)).csv(path), wanted
+
+
+def _retyped(rows: DataFrame, wanted: dict[str, T.DataType]) -> DataFrame:
+    whole = (T.LongType, T.IntegerType)
+    rows = normalise_missing(rows)
+    return rows.select(
+        *[F.col(name).try_cast(kind).alias(name) if isinstance(kind, whole) else F.col(name) for name, kind in wanted.items()]
+    )
+
+
 def read_flights_csv(
     spark: SparkSession,
     path: str,
     types: dict[str, T.DataType] | None = None,
     encoding: str = _ENCODING,
     date_format: str = "yyyy-MM-dd",
+    infer: bool = False,
 ) -> DataFrame:
-    """Header CSV with types looked up by column name, never inferred.
+    """Header CSV with types looked up by column name.
 
     Only the header line is read to learn the column order; a malformed field
     becomes NULL and unknown columns stay text. Whole numbers are parsed as
-    doubles first so that ``1155.0`` reads like ``1155``.
+    doubles first so that ``1155.0`` reads like ``1155``. ``infer`` lets Spark
+    find the types instead, by one more scan.
     """
-    types = types or {**RAW_TYPES, **CLEAN_TYPES}
-    options = {"header": True, "encoding": encoding, "mode": "PERMISSIVE", "dateFormat": date_format}
-    header = spark.read.options(**options).csv(path).columns
-    wanted = {name: types.get(name, T.StringType()) for name in header}
-    whole = (T.LongType, T.IntegerType)
-    scan = T.StructType(
-        [
-            T.StructField(name, T.DoubleType() if isinstance(kind, whole) else kind, True)
-            for name, kind in wanted.items()
-        ]
-    )
-    rows = normalise_missing(spark.read.options(**options).schema(scan).csv(path))
-    return rows.select(
-        *[
-            F.col(name).try_cast(kind).alias(name) if isinstance(kind, whole) else F.col(name)
-            for name, kind in wanted.items()
-        ]
-    )
+    rows, wanted = _typed_scan(spark, path, types, encoding, date_format, infer, False)
+    return _retyped(rows, wanted)
+
+
+def split_malformed(
+    spark: SparkSession,
+    path: str,
+    types: dict[str, T.DataType] | None = None,
+    encoding: str = _ENCODING,
+    date_format: str = "yyyy-MM-dd",
+) -> tuple[DataFrame, DataFrame]:
+    """The well-formed rows of a header CSV, and the others.
+
+    A row is malformed if it has too few or too many fields or one that does
+    not parse as its type. Of those the second table has the raw ``line``, its
+    ``file``, and ``null_columns``: the columns that are NULL in what could be read.
+    """
+    rows, wanted = _typed_scan(spark, path, types, encoding, date_format, False, True)
+    empty = F.array_compact(F.array(*[F.when(F.col(f"`{c}`").isNull(), F.lit(c)) for c in wanted]))
+    bad = rows.where(F.col(CORRUPT).isNotNull())
+    bad = bad.select(F.col(CORRUPT).alias("line"), F.col("_metadata.file_path").alias("file"), empty.alias("null_columns"))
+    return _retyped(rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), wanted), bad
+
+
+def load_flights_csv(spark: SparkSession, path: str, stored: str, quarantine: str, **options) -> DataFrame:
+    """Store the well-formed rows as Parquet and set the malformed ones aside; returns (part, rows).
+
+    Both counts are observed while the tables are written, without scans of their own.
+    """
+    counts = []
+    for part, rows, target in zip(("kept", "set aside"), split_malformed(spark, path, **options), (stored, quarantine)):
+        seen = Observation()
+        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(target)
+        counts.append((part, seen.get["rows"]))
+    return spark.createDataFrame(counts, "part string, rows bigint")
 
 
 def read_flights_parquet(spark: SparkSession, path: str) -> DataFrame:

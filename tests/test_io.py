@@ -8,12 +8,13 @@ import datetime as dt
 
 import pytest
 
+from skylag.operators.cleaning import missing_report
 from skylag.operators.encoding import fit_codes
 from skylag.plans import job
 from skylag.plans.cleaning import clean_flights
 from skylag.plans.report import Floors, report_tables, write_report
 from skylag.session import cut_lineage, materialise, shared_dir
-from skylag.sources.files import read_flights_csv, read_flights_parquet, read_with_row_id, write_csv, write_parquet
+from skylag.sources.files import load_flights_csv, read_flights_csv, read_flights_parquet, read_with_row_id, write_csv, write_parquet
 from skylag.sources.star import table
 from skylag.streaming.cleaning import clean_stream, read_arrivals, write_available
 
@@ -112,3 +113,45 @@ def test_a_cluster_needs_a_shared_folder():
     context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(SimpleNamespace(conf={}, sparkContext=context))
+
+
+def test_malformed_rows_are_set_aside(spark, tmp_path):
+    path = tmp_path / "flights.csv"
+    good = '2019-01-09,Águia,19977,"Fort Lauderdale, FL","Newark, NJ",1155,1501.0,-14.0,0.0,0.0,186.0,1065.0,x\n'
+    bad = [good.replace("2019-01-09", "someday"), good.replace("1155", "oops"), "2019-01-09,too,1,short\n", good.replace(",x\n", ",x,y,z\n")]
+    path.write_bytes((HEADER + good + bad[0] + good.replace("-14.0", "") + "".join(bad[1:])).encode("latin-1"))
+    counts = load_flights_csv(spark, str(path), str(tmp_path / "kept"), str(tmp_path / "bad"))
+    assert {r["part"]: r["rows"] for r in counts.collect()} == {"kept": 2, "set aside": 4}
+    kept = spark.read.parquet(str(tmp_path / "kept"))
+    assert dict(kept.dtypes)["CRS_DEP_TIME"] == "bigint" and kept.where("ARR_DELAY IS NULL").count() == 1
+    aside = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert sorted(r["line"] + "\n" for r in aside) == sorted(bad)
+    assert {tuple(r["null_columns"]) for r in aside if "someday" in r["line"] or "oops" in r["line"]} == {("FL_DATE",), ("CRS_DEP_TIME",)}
+    inferred = dict(read_flights_csv(spark, str(path), infer=True).dtypes)
+    assert inferred["DISTANCE"] == "double" and inferred["FL_DATE"] == "string"
+
+
+def test_a_broken_job_goes_on_where_it_stopped(spark, raw, tmp_path, monkeypatch):
+    folder = str(tmp_path / "out")
+
+    def broken(*args, **more):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(job, "write_report", broken)
+        with pytest.raises(RuntimeError):
+            job.run(raw, folder, floors=Floors(1, 1, 1), neighbours=False)
+    stages = job.Stages(spark, folder)
+    assert all(stages.finished(n) for n in ("clean", "missing_before", "train", "test")) and not stages.finished("report")
+    # half a stage without its entry is written anew, finished ones are not made again
+    (tmp_path / "out" / "component_variance").mkdir()
+    with monkeypatch.context() as patch:
+        for name in ("clean_flights", "model_matrix", "missing_report"):
+            patch.setattr(job, name, broken)
+        index = {r["table_name"]: r["rows"] for r in job.run(raw, folder, floors=Floors(1, 1, 1), neighbours=False).collect()}
+        patch.setattr(job, "write_report", broken)
+        again = {r["table_name"]: r["rows"] for r in job.run(raw, folder, floors=Floors(1, 1, 1), neighbours=False).collect()}
+    assert index == again and set(report_tables()) <= set(index)
+    assert index["train"] + index["test"] == clean_flights(raw).count() and index["component_variance"] == 7
+    observed = {r["metric"]: r["value"] for r in spark.read.parquet(f"{folder}/missing_before").collect()}
+    assert observed == {r["metric"]: r["value"] for r in missing_report(raw).collect()}

@@ -796,6 +796,14 @@ def oracle_sql() -> dict[str, str]:
         ).replace("WITH ", "WITH RECURSIVE ", 1),
         "knn_graph": _KNN,
         "knn_blocks": _KNN,
+        "knn_routes": on_clean(
+            "SELECT src, dst, CAST(rn AS INTEGER) AS rank, round(d, 6) AS distance FROM ("
+            "SELECT src, dst, d, row_number() OVER (PARTITION BY src ORDER BY d, dst) AS rn FROM ("
+            "SELECT a.ROUTE AS src, b.ROUTE AS dst, list_distance(a.v, b.v) AS d FROM means a JOIN means b ON a.ROUTE <> b.ROUTE)) WHERE rn <= 15",
+            "means AS (SELECT ROUTE, ["
+            + ", ".join(f"round(CAST(avg({c}) AS DOUBLE), 6)" for c in (*PARTS, "FL_MONTH", "FL_DAY_OF_WEEK", "SEASON", "PEAK_MORNING", "PEAK_EVENING"))
+            + "] AS v FROM clean GROUP BY ROUTE)",
+        ),
         "clean_pipeline": on_clean(f"SELECT {exact}, {real} FROM clean"),
         "model_matrix": _with(
             6,

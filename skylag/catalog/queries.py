@@ -195,6 +195,12 @@ def _knn_flights(df: DataFrame) -> DataFrame:
 FLOORS = Floors(ROUTE_FLOOR, CITY_FLOOR, AIRLINE_FLOOR)
 
 
+def _knn_routes(df: DataFrame) -> DataFrame:
+    """Neighbours of the routes by the means of their flights' features, through small blocks and parts."""
+    routes = df.groupBy("ROUTE").agg(*[F.round(F.avg(c), 6).alias(c) for c in NEIGHBOUR_FEATURES])
+    return _rounded(knn_graph(routes, "ROUTE", list(NEIGHBOUR_FEATURES), block_rows=16, chunk_rows=32))
+
+
 def _report_index(df: DataFrame) -> DataFrame:
     return write_report(df, fresh_path(df.sparkSession, "report"), FLOORS)
 
@@ -386,6 +392,7 @@ def queries() -> dict[str, Query]:
         "pca_train_features": _stored(_pca_train),
         "knn_graph": _knn_embeddings,
         "knn_blocks": _knn_blocks,
+        "knn_routes": _clean(_knn_routes),
         "knn_flights": _stored(_knn_flights),
         # pipelines
         "clean_pipeline": _clean(lambda df: _shape(df, *[c for c, t in df.dtypes if c not in (*CLOCK, "AVG_SPEED")], **dict.fromkeys((*CLOCK, "AVG_SPEED"), 6))),

@@ -243,3 +243,34 @@ def test_unseen_categories_in_the_registered_query(spark):
     coded = queries()["encode_unseen"](spark, "/root/testdata/sf0.01")
     assert coded.where("ROUTE = -1").count() > 0 < coded.where("ROUTE >= 0").count()
     assert plan(coded).count("BroadcastHashJoin") == 1
+
+
+@pytest.mark.parametrize("pivot_bytes", [64 << 20, 200])
+def test_large_cells_have_pivots_of_their_own(spark, monkeypatch, pivot_bytes):
+    from skylag.operators import neighbours as N
+
+    monkeypatch.setattr(N, "MAX_PIVOTS", 3)
+    monkeypatch.setattr(N, "PIVOT_BYTES", pivot_bytes)
+    rng = np.random.default_rng(5)
+    data = np.round(np.concatenate([rng.normal(size=(500, 3)), rng.normal(size=(200, 3)) / 50 + 4, np.ones((40, 3))]), 3)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "id long, v array<double>").repartition(3)
+    points = N._merged_points(df.select("id", F.col("v").alias("vec")), 5)
+    tree = N._tree(points, points.count(), "bigint", 25, 42)
+    assert len(tree.top) == 3 and (len(tree.parts) > 15) == (pivot_bytes > 200)
+    got = {}
+    for r in knn_graph(df, "id", "v", k=5, block_rows=25, chunk_rows=40).collect():
+        got.setdefault(r["src"], []).append((r["rank"], r["dst"], r["distance"]))
+    for i, v in enumerate(data):
+        away = np.sqrt(((data - v) ** 2).sum(1))
+        order = [j for j in np.lexsort((np.arange(len(data)), away)).tolist() if j != i][:5]
+        found = sorted(got[i])
+        assert [j for _, j, _ in found] == order and [d for _, _, d in found] == pytest.approx([away[j] for j in order])
+
+
+def test_lists_are_cut_before_they_travel(spark):
+    from skylag.operators.neighbours import _merged_lists
+
+    lists = spark.createDataFrame([(1, [5, 6], [0.5, 0.7]), (1, [4, 9], [0.5, 0.1]), (2, [], [])], "uid long, dsts array<long>, distances array<double>")
+    merged = _merged_lists(lists, 2)
+    assert [[(e["distance"], e["dst"]) for e in r["list"]] for r in merged.collect()] == [[(0.1, 9), (0.5, 4), (0.5, 5)]]
+    assert "WindowGroupLimit" in plan(merged)

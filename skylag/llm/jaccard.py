@@ -14,8 +14,9 @@ are left where the place is too late for any pair to reach the threshold. Sets
 that are already in one class are not compared. A set that differs little from
 one whose overlaps are known derives its own overlaps from those, over the
 n-grams in which the two differ. Large homes are dealt in blocks, each with the
-leader: what is linked to the leader there is one class, and only the other
-sets are sent on to all blocks.
+leader: what is linked to the leader there is one class. The other sets, the
+strays, are dealt in blocks of their own, and each pair of a strays' block with
+another block is a unit by itself, so no task holds more than two blocks.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -33,6 +34,7 @@ from .components import components
 SHINGLE = 5
 PERCENT = 80
 BLOCK = 2000
+BLOCK_GRAMS = 1_000_000
 GROUP_SETS = 3000
 FREQUENT_KEPT = 200_000
 SLOTS = 1 << 20
@@ -224,10 +226,10 @@ def _postings(texts: DataFrame, width: int, percent: int, frequent: np.ndarray,
     return texts.mapInArrow(per_text(run), "list long, k1 long, small boolean")
 
 
-def home_links(ids: np.ndarray, leaders: np.ndarray, texts: pa.Array, stray: np.ndarray, width: int, percent: int, frequent: np.ndarray):
-    """Links within one home that join its classes, and whether each set is linked to the leader.
+def home_links(ids: np.ndarray, leaders: np.ndarray, texts: pa.Array, asks: np.ndarray, width: int, percent: int, frequent: np.ndarray):
+    """Links within one unit that join its classes, and whether each set is linked to the leader (if there is one).
 
-    If some sets are marked ``stray``, only pairs with a stray set count.
+    If some sets are marked ``asks`` and some are not, only pairs of one of each count.
     """
     values, bounds = shingle_sets(words_of(texts, lower=True), width)
     size = np.diff(bounds)
@@ -235,7 +237,8 @@ def home_links(ids: np.ndarray, leaders: np.ndarray, texts: pa.Array, stray: np.
     rank = np.lexsort((ids, size, ~leaders))
     n = len(rank)
     pieces = [values[bounds[i] : bounds[i + 1]] for i in rank]
-    ids, size, stray = ids[rank], size[rank], stray[rank]
+    ids, size, asks = ids[rank], size[rank], asks[rank]
+    sided = bool(asks.any() and not asks.all())
     vocab, flat = np.unique(np.concatenate(pieces), return_inverse=True)
     bounds = np.concatenate([[0], np.cumsum(size)])
     codes = [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
@@ -284,14 +287,13 @@ def home_links(ids: np.ndarray, leaders: np.ndarray, texts: pa.Array, stray: np.
         mark[codes[x]] = False
         return out
 
-    any_stray = bool(stray.any())
     # compared with the leader first, then the sets in their order
     for x in range(n):
-        if x == 0:
+        if sided and not asks[x]:
+            continue
+        if x == 0 and not sided:
             near = np.arange(1, n)
         else:
-            if any_stray and not stray[x]:
-                continue
             found = []
             late = 100 * size[x] // percent
             for g, p in zip(entry[own[x] : own[x + 1]].tolist(), place[own[x] : own[x + 1]].tolist(), strict=True):
@@ -305,6 +307,8 @@ def home_links(ids: np.ndarray, leaders: np.ndarray, texts: pa.Array, stray: np.
                 enough = np.minimum(size[x] - p, size[others] - at) >= _least_overlap(size[x] + size[others], percent)
                 found.append(others[enough])
             near = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+            if sided:
+                near = near[~asks[near]]
             mine = root(x)
             near = np.array([y for y in near.tolist() if y != x and root(y) != mine], np.int64)
         if not len(near):
@@ -318,70 +322,112 @@ def home_links(ids: np.ndarray, leaders: np.ndarray, texts: pa.Array, stray: np.
             if a != b:
                 parent[max(a, b)] = min(a, b)
                 links.append((ids[x], ids[y]))
-    at_leader = np.zeros(n, bool)
-    if n:
-        shared = known.get(0, overlaps(0))
-        at_leader = 100 * shared >= percent * (size[0] + size - shared)
-    out = np.empty(n, bool)
-    out[rank] = at_leader
+    out = np.zeros(n, bool)
+    if leaders.any():
+        shared = known[0] if 0 in known else overlaps(0)
+        out[rank] = 100 * shared >= percent * (size[0] + size - shared)
     return links, out
 
 
+def _near(marks: np.ndarray, size: np.ndarray, asks: np.ndarray, percent: int) -> np.ndarray:
+    """Sets that their sketches do not keep apart from every other set of the unit, or of its other side."""
+    keep = np.zeros(len(size), bool)
+    sided = asks.any() and not asks.all()
+    other = np.flatnonzero(~asks) if sided else np.arange(len(size))
+    for i in np.flatnonzero(asks).tolist() if sided else range(len(size) - 1):
+        rest = other if sided else other[i + 1 :]
+        total = size[i] + size[rest]
+        least = _least_overlap(total, percent)
+        apart = (marks[rest] != marks[i]).sum(axis=1)
+        near = (apart <= total - 2 * least) & (least <= np.minimum(size[i], size[rest]))
+        if near.any():
+            keep[i] = True
+            keep[rest[near]] = True
+    return keep
+
+
+def _units(leader: np.ndarray, unit: np.ndarray) -> list[tuple[int, int]]:
+    """Bounds of the units in rows sorted by home and unit."""
+    new = np.flatnonzero(np.append(True, (leader[1:] != leader[:-1]) | (unit[1:] != unit[:-1]))).tolist() if len(leader) else []
+    return list(zip(new, [*new[1:], len(leader)], strict=True))
+
+
+def _grouped(members: DataFrame, groups: int):
+    """Units of small homes by ``groups`` parts, every unit of a large one by itself."""
+    part = F.when(F.col("large"), F.col("unit")).otherwise(F.pmod(F.xxhash64("leader"), F.lit(groups)).cast("long"))
+    return members.withColumn("home", F.when(F.col("large"), F.col("leader"))).withColumn("part", part).groupBy("home", "part")
+
+
 def _possible(members: DataFrame, groups: int, percent: int) -> DataFrame:
-    """Members (doc_id, leader) that their sketches do not keep apart from every other set of the home."""
+    """Members that their sketches do not keep apart from every other set that they are compared with in the unit."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("leader", "ascending"), ("doc_id", "ascending")])
-        leader, size = table.column("leader").to_numpy(), table.column("n").to_numpy()
+        table = table.sort_by([("leader", "ascending"), ("unit", "ascending"), ("doc_id", "ascending")])
+        size, asks = table.column("n").to_numpy(), table.column("asks").to_numpy()
         sketches = table.column("sketch").to_pylist()
-        new = np.flatnonzero(np.append(True, leader[1:] != leader[:-1]))
-        keep = np.zeros(len(leader), bool)
-        for a, b in zip(new.tolist(), [*new[1:].tolist(), len(leader)], strict=True):
-            own, buckets = size[a:b], min(map(len, sketches[a:b]))
+        keep = np.zeros(len(size), bool)
+        for a, b in _units(table.column("leader").to_numpy(), table.column("unit").to_numpy()):
+            buckets = min(map(len, sketches[a:b]))
             marks = np.stack([_folded(x, buckets) for x in sketches[a:b]])
-            for i in range(b - a - 1):
-                total = own[i] + own[i + 1 :]
-                least = _least_overlap(total, percent)
-                apart = (marks[i + 1 :] != marks[i]).sum(axis=1)
-                near = (apart <= total - 2 * least) & (least <= np.minimum(own[i], own[i + 1 :]))
-                if near.any():
-                    keep[a + i] = True
-                    keep[a + i + 1 : b] |= near
-        return table.select(["doc_id", "leader", "is_leader"]).filter(pa.array(keep))
+            keep[a:b] = _near(marks, size[a:b], asks[a:b], percent)
+        return table.select(["doc_id", "n", "leader", "is_leader", "large", "unit", "asks"]).filter(pa.array(keep))
 
-    dealt = members.withColumn("part", F.pmod(F.xxhash64("leader"), F.lit(groups)))
-    return dealt.groupBy("part").applyInArrow(run, "doc_id long, leader long, is_leader boolean")
+    kinds = "doc_id long, n long, leader long, is_leader boolean, large boolean, unit long, asks boolean"
+    return _grouped(members, groups).applyInArrow(run, kinds)
 
 
-def _homes(members: DataFrame, groups: int, width: int, percent: int, frequent: np.ndarray, want_strays: bool) -> DataFrame:
-    """Rows (a, b) of links; with ``want_strays`` also rows (leader, set) of kind 1 for sets not linked to the leader of a blocked home."""
+def _homes(members: DataFrame, groups: int, width: int, percent: int, frequent: np.ndarray) -> DataFrame:
+    """Rows (a, b) of links, and rows (leader, set) of kind 1 for the sets of large homes that are linked to the leader."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("leader", "ascending"), ("block", "ascending"), ("doc_id", "ascending")])
-        leader, block, blocks = (table.column(c).to_numpy() for c in ("leader", "block", "blocks"))
-        new = np.flatnonzero(np.append(True, (leader[1:] != leader[:-1]) | (block[1:] != block[:-1])))
+        table = table.sort_by([("leader", "ascending"), ("unit", "ascending"), ("doc_id", "ascending")])
+        leader, large = table.column("leader").to_numpy(), table.column("large").to_numpy()
         ids, heads = table.column("doc_id").to_numpy(), table.column("is_leader").to_numpy()
-        stray, texts = table.column("stray").to_numpy(), table.column("text").combine_chunks()
+        asks, texts = table.column("asks").to_numpy(), table.column("text").combine_chunks()
         kinds, first, second = [], [], []
-        for a, b in zip(new.tolist(), [*new[1:].tolist(), len(ids)], strict=True):
+        for a, b in _units(leader, table.column("unit").to_numpy()):
             if b - a < 2:
                 continue
             _, keep = np.unique(ids[a:b], return_index=True)
             keep = keep + a
-            links, linked = home_links(ids[keep], heads[keep], texts.take(pa.array(keep)), stray[keep], width, percent, frequent)
+            links, linked = home_links(ids[keep], heads[keep], texts.take(pa.array(keep)), asks[keep], width, percent, frequent)
             for x, y in links:
                 kinds.append(0)
                 first.append(x)
                 second.append(y)
-            if want_strays and blocks[a] > 1:
-                for x in ids[keep][~linked].tolist():
+            if large[a]:
+                for x in ids[keep][linked].tolist():
                     kinds.append(1)
                     first.append(leader[a])
                     second.append(x)
         return pa.table({"kind": pa.array(kinds, pa.int32()), "a": pa.array(first, pa.int64()), "b": pa.array(second, pa.int64())})
 
-    dealt = members.withColumn("part", F.pmod(F.xxhash64("leader", "block"), F.lit(groups)))
-    return dealt.groupBy("part").applyInArrow(run, "kind int, a long, b long")
+    return _grouped(members, groups).applyInArrow(run, "kind int, a long, b long")
+
+
+def _strays(members: DataFrame, linked: DataFrame, fill: int) -> DataFrame:
+    """Members of large homes that are not linked to the leader, in the units where they meet each other and the linked ones.
+
+    Both kinds are dealt in blocks. A unit is a pair of strays' blocks, of which the
+    first asks, one block of strays alone, or a block of strays that asks one of linked sets.
+    The leader itself has been compared with all of its home.
+    """
+    core = linked.select("leader", "doc_id", F.lit(True).alias("core"))
+    held = members.where("large AND NOT is_leader").join(core, ["leader", "doc_id"], "left").withColumn("core", F.col("core").isNotNull())
+
+    def blocks(of: Column) -> Column:
+        sets, grams = F.count(F.when(of, 1)), F.sum(F.when(of, F.col("n")))
+        return F.greatest(F.ceil(sets / fill), F.least(sets, F.ceil(grams / BLOCK_GRAMS))).cast("long")
+
+    tally = held.groupBy("leader").agg(blocks(~F.col("core")).alias("apart"), F.coalesce(blocks(F.col("core")), F.lit(0)).alias("linked"))
+    dealt = held.join(tally.where("apart > 0"), "leader")
+    mine = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.when(F.col("core"), F.col("linked")).otherwise(F.col("apart")))
+    among = "transform(sequence(0, apart - 1), j -> struct(least(mine, j) * 2147483648 + greatest(mine, j) AS unit, mine <= j AS asks))"
+    to_core = "transform(sequence(1, linked), j -> struct(mine * 2147483648 + 1073741824 + j AS unit, true AS asks))"
+    asked = "transform(sequence(0, apart - 1), j -> struct(j * 2147483648 + 1073741825 + mine AS unit, false AS asks))"
+    places = f"CASE WHEN core THEN {asked} WHEN linked > 0 THEN concat({among}, {to_core}) ELSE {among} END"
+    placed = dealt.withColumn("mine", mine).withColumn("place", F.explode(F.expr(places)))
+    return placed.select("doc_id", "n", "sketch", "leader", "is_leader", "large", "place.unit", "place.asks")
 
 
 def near_duplicates(
@@ -394,7 +440,7 @@ def near_duplicates(
     distinct ``width``-word n-grams (A-Z lowered). Identifiers are whole
     numbers; rows without one are left out. By default five words and 0.8. A null, empty or wordless text has
     an empty set and no link. Repeated rows link with each other like any equal
-    sets. ``block`` bounds the sets compared in one task. ``by_parts`` finds
+    sets. A unit of a large home has at most two blocks of ``block`` sets. ``by_parts`` finds
     candidates by equal parts of sets instead of single n-grams: for short
     n-grams, which many texts share by chance, and thresholds of 90 or more.
     """
@@ -409,22 +455,25 @@ def near_duplicates(
 
     reps = sets.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     postings = materialise(_postings(texts, width, percent, frequent, by_parts), "index-lists")
-    held = postings.groupBy("list").agg(F.min("k1").alias("leader"), F.max("k1").alias("last"), F.max("small").alias("small"))
-    leaders = held.where("leader < last AND small").select("list", "leader")
+    lists = postings.groupBy("list").agg(F.min("k1").alias("leader"), F.max("k1").alias("last"), F.max("small").alias("small"))
+    leaders = lists.where("leader < last AND small").select("list", "leader")
     homes = checkpointed(postings.select("list", "k1").join(leaders, "list").select("k1", "leader").distinct())
-    groups = max(1, -(-homes.count() // group_sets))
-    sizes = homes.groupBy("leader").agg(F.count(F.lit(1)).alias("here"))
-    members = homes.join(sizes, "leader").join(sketches, "k1")
-    members = members.select("doc_id", "leader", "n", "sketch", "here", (F.col("k1") == F.col("leader")).alias("is_leader"))
-    small = _possible(members.where(F.col("here") <= block), groups, percent)
-    large = members.where(F.col("here") > block).select("doc_id", "leader", "is_leader")
-    left = checkpointed(small.union(large))
-    counted = left.groupBy("leader").agg(F.count(F.lit(1)).alias("n")).select("leader", F.ceil(F.col("n") / block).cast("long").alias("blocks"))
-    placed = left.join(counted, "leader")
+    held = homes.join(sketches.select("k1", "n"), "k1")
+    # blocks are filled by a hash, so three quarters on average keep them below their bound
+    fill = max(1, 3 * block // 4)
+    count, grams = F.count(F.lit(1)), F.ceil(F.sum("n") / BLOCK_GRAMS)
+    blocks = F.greatest(F.when(count > block, F.ceil(count / fill)).otherwise(1), F.least(count, grams)).cast("long")
+    sizes = held.groupBy("leader").agg(blocks.alias("blocks"))
+    members = homes.join(sizes, "leader").join(sketches, "k1").withColumn("large", F.col("blocks") > 1)
+    members = members.select("doc_id", "leader", "n", "sketch", "blocks", "large", (F.col("k1") == F.col("leader")).alias("is_leader"))
+
+    def parts(rows: DataFrame) -> int:
+        rows, grams = rows.agg(F.count(F.lit(1)), F.sum("n")).first()
+        return max(1, -(-rows // group_sets), -(-(grams or 0) // BLOCK_GRAMS))
 
     def shipped(rows: DataFrame) -> DataFrame:
-        """Members with their texts: ``rows`` has doc_id, leader, block, blocks, is_leader, stray."""
-        place = F.struct("leader", "block", "blocks", "is_leader", "stray")
+        """Members with their texts."""
+        place = F.struct("leader", "unit", "large", "is_leader", "asks")
         per_doc = rows.groupBy("doc_id").agg(F.collect_list(place).alias("places")).hint("shuffle_hash")
         # at most SLOTS rows are broadcast: texts whose identifier falls on none of them need not be shuffled
         slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS))
@@ -432,19 +481,17 @@ def near_duplicates(
         once = texts.withColumn("slot", slot).join(F.broadcast(taken), "slot", "left_semi").drop("slot").join(per_doc, "doc_id")
         return once.select("doc_id", "text", F.explode("places").alias("p")).select("doc_id", "text", "p.*")
 
-    hashed = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
-    all_blocks = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    block_of = F.explode(F.when(F.col("is_leader"), all_blocks).otherwise(F.array(hashed)))
-    dealt = placed.withColumn("block", block_of).withColumn("stray", F.lit(False))
-    found = checkpointed(_homes(shipped(dealt), groups, width, percent, frequent, True))
+    def linked(dealt: DataFrame, groups: int) -> DataFrame:
+        left = checkpointed(_possible(dealt, groups, percent))
+        return checkpointed(_homes(shipped(left), parts(left), width, percent, frequent))
+
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    unit = F.explode(F.when(F.col("is_leader"), every).otherwise(F.array(F.pmod(F.xxhash64("doc_id"), F.col("blocks")))))
+    found = linked(members.withColumn("unit", unit).withColumn("asks", F.lit(False)), parts(held))
     edges = found.where("kind = 0").select("a", "b")
-    strays = found.where("kind = 1").select(F.col("a").alias("leader"), F.col("b").alias("doc_id")).distinct()
-    if not strays.isEmpty():
-        marked = dealt.where("blocks > 1").drop("stray").join(strays.withColumn("s", F.lit(True)), ["leader", "doc_id"], "left")
-        core = marked.withColumn("stray", F.lit(False))
-        sent = marked.where("s").drop("block").distinct().withColumn("block", F.explode(all_blocks)).withColumn("stray", F.lit(True))
-        again = core.where("s IS NULL").unionByName(sent).drop("s")
-        edges = edges.union(_homes(shipped(again), groups, width, percent, frequent, False).select("a", "b"))
+    if not sizes.where("blocks > 1").isEmpty():
+        at_leader = found.where("kind = 1").select(F.col("a").alias("leader"), F.col("b").alias("doc_id"))
+        edges = edges.union(linked(_strays(members, at_leader, fill), 1).where("kind = 0").select("a", "b"))
 
     classes = components(edges)
     by_rep = reps.join(classes, F.col("rep") == F.col("node"), "left").select("k1", "k2", F.coalesce("component", "rep").alias("component_id"))

@@ -296,6 +296,54 @@ def test_near_duplicates(spark, rows, empty, sizes):
     assert jaccard.near_duplicates(empty).count() == 0
 
 
+def test_blocks_bound_a_home_of_own_edits(spark, monkeypatch):
+    """3,000 texts, each an own edit of one text: at 0.8 most link to the original at best, some with each other."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(70)]
+    rows = [(0, " ".join(base), "")]
+    for i in range(1, 3001):
+        own = list(base)
+        if i % 10 == 0 and i > 10:  # near another edit, too far from the original
+            own = rows[i - 7][1].split(" ")
+            own[rng.randrange(70)] = f"y{i}"
+        for place in rng.sample(range(0, 70, 6), 1 + i % 4):
+            own[place] = f"x{i}-{place}"
+        rows.append((i, " ".join(own), ""))
+    sets = [sorted({tuple(w[k : k + 5]) for k in range(66)}) for w in (r[1].split(" ") for r in rows)]
+    code: dict = {}
+    held = [np.array([code.setdefault(g, len(code)) for g in x]) for x in sets]
+    lists: list = [[] for _ in code]
+    for i, x in enumerate(held):
+        for g in x.tolist():
+            lists[g].append(i)
+    lists = [np.array(x) for x in lists]
+    size = np.array([len(x) for x in held])
+    least = np.arange(len(rows))
+    links = []
+    for i, x in enumerate(held):
+        shared = np.bincount(np.concatenate([lists[g] for g in x.tolist()]), minlength=len(rows))
+        links.append(np.flatnonzero(100 * shared >= 80 * (size[i] + size - shared)))
+    while True:
+        lower = np.array([least[x].min() for x in links])
+        if (lower == least).all():
+            break
+        least = lower
+    largest = []
+    grouped = jaccard._grouped
+
+    def counted(members, groups):
+        n = members.where("large").groupBy("leader", "unit").count().agg({"count": "max"}).first()[0]
+        largest.append(n or 0)
+        return grouped(members, groups)
+
+    monkeypatch.setattr(jaccard, "_grouped", counted)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(df, block=200).collect()}
+    assert got == dict(enumerate(least.tolist()))
+    assert 100 < len(set(got.values())) < 2900
+    assert len(largest) == 4 and 100 < max(largest) <= 400
+
+
 def test_sketches_never_overstate_a_difference():
     rng = np.random.default_rng(1)
     for _ in range(50):

@@ -127,17 +127,19 @@ def _fit(bucket: np.ndarray, bounds: np.ndarray, form: np.ndarray, grade: np.nda
     return OrdinalModel(kept, weights, shape, np.cumsum(np.concatenate([steps[:1], np.exp(steps[1:])])))
 
 
-def fit(docs: DataFrame, ratings: DataFrame, grade: str, id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN) -> OrdinalModel:
+def fit(docs: DataFrame, ratings: DataFrame, grade: str, id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN, top: int = 1) -> OrdinalModel:
     """Fit on at most ``max_train`` rated texts, those whose identifiers hash lowest.
 
     ``grade`` is a SQL expression over ``ratings`` giving whole numbers 0 ..
-    top. Ratings without a grade or a text are left out. Without any rated
+    ``top``, or more if larger ones are met; a top grade that no rating has is given to no text.
+    Of the texts of one identifier the greatest counts, of its ratings the least. Ratings without a grade or a text are left out. Without any rated
     text nothing is learnt and every text is kept.
     """
     rated = ratings.select(F.col(f"`{id_col}`").alias("rated"), F.expr(grade).cast("int").alias("grade")).dropna()
     chosen = rated.groupBy("rated").agg(F.min("grade").alias("grade")).orderBy(F.xxhash64("rated"), "rated").limit(max_train)
     # the sample's size has a fixed bound, so it may be broadcast
-    sample = docs.join(F.broadcast(chosen), F.col(f"`{id_col}`") == F.col("rated")).select(F.col(f"`{text_col}`").alias("text"), "grade").dropna()
+    sample = docs.join(F.broadcast(chosen), F.col(f"`{id_col}`") == F.col("rated"))
+    sample = sample.groupBy("rated").agg(F.max(F.col(f"`{text_col}`")).alias("text"), F.min("grade").alias("grade")).select("text", "grade").dropna()
 
     def run(batches):
         for part in sliced(batches):
@@ -158,7 +160,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grade: str, id_col: str = "doc_id",
     order = np.lexsort((form[:, 3], form[:, 5], grades, np.diff(bounds)))
     starts, sizes = bounds[:-1][order], np.diff(bounds)[order]
     bucket = bucket[ranges(starts, sizes)]
-    top = max(1, int(grades.max()))
+    top = max(top, int(grades.max()))
     return _fit(bucket, np.concatenate([[0], np.cumsum(sizes)]), form[order], grades[order], top)
 
 

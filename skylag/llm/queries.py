@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Harmful below poor below good.
 GRADE = "CASE WHEN toxic = 1 THEN 0 WHEN quality = 0 THEN 1 WHEN quality = 1 THEN 2 END"
+TOP_GRADE = 2
 LEARNS = "crc32(cast(cast(doc_id AS string) AS binary)) % 7 <> 2"
 CRC = "crc32(cast(cast(doc_id AS string) AS binary))"
 
@@ -57,7 +58,7 @@ def ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 
 def ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    model = quality.fit(docs, table(spark, folder, "labels"), GRADE)
+    model = quality.fit(docs, table(spark, folder, "labels"), GRADE, top=TOP_GRADE)
     return quality.grade_texts(docs.select("doc_id", "text"), model).drop("text")
 
 

@@ -382,6 +382,40 @@ def test_components(spark):
     assert components(edges.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 5, 30, 41])
+def test_multi_index_gives_all_of_few_rows(spark, n):
+    rng = np.random.default_rng(n)
+    x = rng.standard_normal((n, 6)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = answers(ann.search(df, F.col("vec_id") % 20 == 0))
+    assert all(len(w) == min(20, n - 1) for w in found.values()) and (n == 1 or set(found) == set(range(0, n, 20)))
+    if n <= 21:
+        assert found == {} if n == 1 else found == best(x.astype(np.float64), np.arange(n), 20, lambda v: v % 20 == 0)
+
+
+def test_multi_index_with_many_copies(spark):
+    """A third of the rows is one vector: copies are answers by identifier, and other queries keep their recall."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((900, 16)).astype(np.float32)
+    x[rng.permutation(900)[:300]] = x[7] * 2
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(3)
+    wanted = best(x.astype(np.float64), np.arange(900), 20, lambda v: v % 20 == 0)
+    assert answers(ann.search(df, F.col("vec_id") % 20 == 0, visit=1.0)) == wanted
+    found = answers(ann.search(df, F.col("vec_id") % 20 == 0))
+    assert set(found) == set(wanted) and all(len(w) == 20 for w in found.values())
+    assert np.mean([len(set(found[q]) & set(w)) / 20 for q, w in wanted.items()]) >= 0.9
+
+
+def test_quality_of_repeated_ratings_and_without_the_top_grade(spark):
+    texts = [(i, f"plain words {i} here" if i % 2 else f"%%% nasty {i} !!", 1 if i % 2 else 0) for i in range(200)]
+    df = spark.createDataFrame([t[:2] for t in texts] + [texts[0][:2]] * 50 + [(1, None)], "doc_id long, text string")
+    rated = spark.createDataFrame([(i, g) for i, _, g in texts], "doc_id long, grade int")
+    lowest = quality.fit(df, rated, "grade", top=2)
+    assert len(lowest.thresholds) == 2 and not any(r["keep"] for r in quality.grade_texts(df, lowest).collect())
+    once = quality.fit(df.where("text IS NOT NULL").distinct(), rated, "grade", top=2)
+    assert np.array_equal(once.weights, lowest.weights) and np.array_equal(once.thresholds, lowest.thresholds)
+
+
 def test_quality(spark):
     rng = random.Random(3)
     rows, ratings = [], []

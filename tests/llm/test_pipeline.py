@@ -76,3 +76,21 @@ def test_stages_keep_rows_in_number(spark):
         assert got[1, text] == 2 and got[None, "alone\nhere"] == 2 and got[None, None] == 1 and sum(got.values()) <= 6
     near = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, SMALL).collect())
     assert near == {(1, text): 1, (None, "alone\nhere"): 1, (None, None): 1}
+
+
+def test_own_columns_and_several_texts_of_one_identifier(spark, tmp_path):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    names = ["keep", "_key", "_null", "rated", "grade", "rest", "n_removed", "kept", "c0"]
+    clash = docs.select("*", *[F.concat(F.lit(f"{c} "), "doc_id").alias(c) for c in names])
+    plain = docs
+    for stage in (corpus_pipeline.keep_good, corpus_pipeline.drop_lines, corpus_pipeline.drop_near_copies, corpus_pipeline.drop_passages):
+        got = stage(spark, clash, SMALL)
+        assert got.columns == clash.columns
+        rows = got.collect()
+        assert rows and all(r[c] == f"{c} {r['doc_id']}" for r in rows for c in names)
+        assert {(r["doc_id"], r["text"]) for r in rows} == {(r["doc_id"], r["text"]) for r in stage(spark, plain, SMALL).collect()}
+    first, second = (" ".join(f"{w}{i}" for i in range(40)) for w in "ab")
+    rows = [(3, first), (3, second), (3, second), (3, None), (5, first), (2, second + " more"), (9, second)]
+    got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), SMALL)
+    # the other text of 3 equals that of 5, an identifier, and comes after it
+    assert Counter(map(tuple, got.collect())) == Counter([(2, second + " more"), (3, None), (5, first)])

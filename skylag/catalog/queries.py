@@ -20,6 +20,7 @@ from ..operators import reduction as G
 from ..operators import relations as R
 from ..operators import sampling as S
 from ..operators.neighbours import knn_graph
+from ..operators.projections import knn_approximate
 from ..operators.scaling import fit_scaler
 from ..plans.cleaning import clean_flights
 from ..plans.job import run as run_job
@@ -192,13 +193,31 @@ def _knn_flights(df: DataFrame) -> DataFrame:
     return _rounded(knn_graph(model_matrix(df).train, "FLIGHT_ID", list(NEIGHBOUR_FEATURES)))
 
 
+def _knn_approximate(df: DataFrame) -> DataFrame:
+    """Approximate neighbours of the training features, over the whole training part."""
+    return _rounded(knn_approximate(model_matrix(df).train, "FLIGHT_ID", list(NEIGHBOUR_FEATURES)))
+
+
+def _knn_recall(df: DataFrame) -> DataFrame:
+    """How many links the approximate graph of the routes has, and whether 90 % of the exact graph's are among them."""
+    routes = materialise(_route_means(df), "routes")
+    exact = knn_graph(routes, "ROUTE", list(NEIGHBOUR_FEATURES)).select("src", "dst", F.lit(1).alias("exact"))
+    found = knn_approximate(routes, "ROUTE", list(NEIGHBOUR_FEATURES), bucket_rows=64).select("src", "dst", F.lit(1).alias("found"))
+    both = exact.join(found, ["src", "dst"], "full")
+    hits = F.count(F.when(F.col("exact").isNotNull() & F.col("found").isNotNull(), 1))
+    return both.agg(F.count("exact").alias("links"), (hits >= 0.9 * F.count("exact")).alias("reached"))
+
+
 FLOORS = Floors(ROUTE_FLOOR, CITY_FLOOR, AIRLINE_FLOOR)
 
 
+def _route_means(df: DataFrame) -> DataFrame:
+    return df.groupBy("ROUTE").agg(*[F.round(F.avg(c), 6).alias(c) for c in NEIGHBOUR_FEATURES])
+
+
 def _knn_routes(df: DataFrame) -> DataFrame:
     """Neighbours of the routes by the means of their flights' features, through small blocks and parts."""
-    routes = df.groupBy("ROUTE").agg(*[F.round(F.avg(c), 6).alias(c) for c in NEIGHBOUR_FEATURES])
-    return _rounded(knn_graph(routes, "ROUTE", list(NEIGHBOUR_FEATURES), block_rows=16, chunk_rows=32))
+    return _rounded(knn_graph(_route_means(df), "ROUTE", list(NEIGHBOUR_FEATURES), block_rows=16, chunk_rows=32))
 
 
 def _report_index(df: DataFrame) -> DataFrame:
@@ -394,6 +413,8 @@ def queries() -> dict[str, Query]:
         "knn_blocks": _knn_blocks,
         "knn_routes": _clean(_knn_routes),
         "knn_flights": _stored(_knn_flights),
+        "knn_approximate": _stored(_knn_approximate),
+        "knn_recall": _clean(_knn_recall),
         # pipelines
         "clean_pipeline": _clean(lambda df: _shape(df, *[c for c, t in df.dtypes if c not in (*CLOCK, "AVG_SPEED")], **dict.fromkeys((*CLOCK, "AVG_SPEED"), 6))),
         "model_matrix": _stored(_matrix),

@@ -274,3 +274,41 @@ def test_lists_are_cut_before_they_travel(spark):
     merged = _merged_lists(lists, 2)
     assert [[(e["distance"], e["dst"]) for e in r["list"]] for r in merged.collect()] == [[(0.1, 9), (0.5, 4), (0.5, 5)]]
     assert "WindowGroupLimit" in plan(merged)
+
+
+def _points(n, seed=3):
+    """Clustered points in five dimensions; a third of them is one vector, some lack a feature."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(12, 5)) * 8
+    own = centres[rng.integers(0, 12, n)] + rng.normal(size=(n, 5))
+    own[: n // 3] = own[0]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(own)]
+    return [*rows, (n, None), (n + 1, [1.0, None, 1.0, 1.0, 1.0]), (n + 2, [1.0, float("nan"), 1.0, 1.0, 1.0])]
+
+
+def test_approximate_neighbours(spark):
+    from skylag.operators.projections import _bucketed, knn_approximate
+
+    df = spark.createDataFrame(_points(3000), "id long, v array<double>")
+    exact = {(r["src"], r["dst"]): r["distance"] for r in knn_graph(df, "id", "v", k=5).collect()}
+    got = knn_approximate(df, "id", "v", k=5, bucket_rows=100).collect()
+    links = {(r["src"], r["dst"]): r["distance"] for r in got}
+    assert len(links) == len(got) == 15000  # five each, none twice
+    assert len(links.keys() & exact.keys()) >= 0.9 * len(exact)
+    assert all(abs(exact[e] - d) < 1e-9 for e, d in links.items() if e in exact)
+    # at most two bounded buckets meet in a task, also where points cannot be parted
+    flat = spark.createDataFrame([(i, [0.0, 0.0]) for i in range(900)], "uid long, vec array<double>")
+    for points, n in ((df.where("id < 3000").selectExpr("id AS uid", "v AS vec"), 3000), (flat, 900)):
+        sizes = [r["count"] for r in _bucketed(points, n, "bigint", 3, 100, 1).groupBy("band", "code", "piece").count().collect()]
+        assert sum(sizes) == 3 * n and max(sizes) <= 300
+
+
+def test_approximate_neighbours_of_few_rows_are_exact(spark):
+    from skylag.operators.projections import knn_approximate
+
+    df = spark.createDataFrame(_points(200), "id long, v array<double>")
+    rows = lambda g: sorted((r["src"], r["rank"], r["dst"], r["distance"]) for r in g.collect())
+    assert rows(knn_approximate(df, "id", "v", k=4)) == rows(knn_graph(df, "id", "v", k=4))
+    assert knn_approximate(df.where("v IS NULL"), "id", "v").count() == 0
+    two = df.where("id IN (0, 199)")
+    assert {(r["src"], r["dst"]) for r in knn_approximate(two, "id", "v").collect()} == {(0, 199), (199, 0)}

@@ -4,8 +4,10 @@ Rows and queries are grouped by their nearest pivot. Each group is summarised
 by its size and radius. Inner products between two groups are bounded by their
 pivots and radii, so the summaries tell a score that the k-th answer of every
 query of a group reaches at least, and which groups may hold a better one: to
-those alone the queries are sent. There every query leaves out the groups that
-its own bound rules out and the rest is solved in blocks.
+those alone the queries are sent. Queries are dealt in turns by their groups,
+and rows are copied only to the turns in which some query may need their group.
+There every query leaves out the groups that its own bound rules out and the
+rest is solved in blocks.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vectors as V
-from .arrow import checkpointed
+from .arrow import checkpointed, ranges
 
 PIVOT_SAMPLE = 10_000
 MOST_PIVOTS = 1024
@@ -57,6 +59,37 @@ def needed_groups(pivots, sizes, radii, query_radii, k: int) -> np.ndarray:
     return out
 
 
+def dealt_turns(asked: np.ndarray, order: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first turn of each query group and over how many turns its queries are dealt.
+
+    Neighbouring groups (by ``order``) share a turn of about ``block`` queries; a larger group has turns of its own.
+    """
+    first, number = np.zeros(len(asked), np.int64), np.ones(len(asked), np.int64)
+    turn, held = 0, 0.0
+    for g in np.argsort(order, kind="stable").tolist():
+        if held and held + asked[g] > block:
+            turn, held = turn + 1, 0.0
+        first[g], number[g] = turn, max(1, -(-int(asked[g]) // block))
+        held += asked[g]
+        if number[g] > 1:
+            turn, held = turn + int(number[g]), 0.0
+    return first, number
+
+
+def turns_needed(needed: np.ndarray, asked: np.ndarray, first: np.ndarray, number: np.ndarray) -> list[list[tuple[int, int]]]:
+    """For each data group the ranges of turns in which some query group needs it, without overlaps."""
+    out: list[list[tuple[int, int]]] = []
+    for h in range(needed.shape[1]):
+        spans: list[tuple[int, int]] = []
+        for a, b in sorted({(int(first[g]), int(first[g] + number[g] - 1)) for g in np.flatnonzero(needed[:, h] & (asked > 0))}):
+            if spans and a <= spans[-1][1] + 1:
+                spans[-1] = spans[-1][0], max(b, spans[-1][1])
+            else:
+                spans.append((a, b))
+        out.append(spans)
+    return out
+
+
 def search(
     df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20,
     scale: int = 64, block: int = BLOCK, pivots: int | None = None,
@@ -81,11 +114,10 @@ def search(
         F.count(F.lit(1)).alias("n"), F.max("far").alias("far"), F.max(F.when(is_query, F.col("far"))).alias("query_far"),
         F.count(F.when(is_query, 1)).alias("asked"),
     )
-    sizes, radii, query_radii = (np.zeros(len(centres)) for _ in range(3))
-    asked = 0
+    sizes, radii, query_radii, query_sizes = (np.zeros(len(centres)) for _ in range(4))
     for r in summary.collect():  # a row per pivot
         sizes[r["cell"]], radii[r["cell"]], query_radii[r["cell"]] = r["n"], r["far"], r["query_far"] or 0.0
-        asked += r["asked"]
+        query_sizes[r["cell"]] = r["asked"]
     needed = needed_groups(centres, sizes, radii, query_radii, k)
     # neighbouring groups share a task up to its size; larger groups are dealt in blocks
     shard, held, blocks = np.zeros(len(centres), np.int64), 0, []
@@ -95,36 +127,42 @@ def search(
             held = 0
         held += sizes[h]
         shard[h], blocks[-1] = len(blocks) - 1, max(1, -(-int(held) // block))
-    turns = max(1, -(-asked // block))
-    targets = [sorted({(int(shard[h]), b) for h in np.flatnonzero(needed[g]) for b in range(blocks[shard[h]])}) for g in range(len(centres))]
-    shared = df.sparkSession.sparkContext.broadcast((centres, radii, needed, targets))
+    turn_of, turns_of = dealt_turns(query_sizes, shard, block)
+    heard = turns_needed(needed, query_sizes, turn_of, turns_of)
+    shared = df.sparkSession.sparkContext.broadcast((centres, radii, needed, shard, np.array(blocks)))
 
     def sent(batches):
+        """One row for each block of each shard that may hold an answer of the query's group."""
+        _, _, needed, shard, blocks = shared.value
+        targets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for part in batches:
-            place, shards, numbers = [], [], []
-            for i, g in enumerate(part.column("cell").to_pylist()):
-                for s, b in shared.value[3][g]:
-                    place.append(i)
-                    shards.append(s)
-                    numbers.append(b)
-            place = pa.array(place, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(place), part.column(1).take(place), part.column("cell").take(place), pa.array(shards, pa.int64()), pa.array(numbers, pa.int64())],
-                names=["vec_id", "vector", "cell", "shard", "block"],
-            )
-
-    place = F.array(*[F.struct(F.lit(int(s)).alias("shard"), F.lit(int(blocks[s])).alias("blocks")) for s in shard])
-    dealt = entries.withColumn("place", F.element_at(place, (F.col("cell") + 1).cast("int")))
-    every = F.explode(F.sequence(F.lit(0), F.lit(turns - 1)))
-    data = dealt.select(
-        "vec_id", "vector", "cell", F.col("place.shard").cast("long").alias("shard"), F.pmod(F.xxhash64("vec_id"), F.col("place.blocks")).cast("long").alias("block"),
-        F.lit(False).alias("asks"), every.alias("turn"),
+            groups = part.column("cell").to_numpy()
+            for g in np.unique(groups).tolist():
+                if g not in targets:
+                    met = np.unique(shard[needed[g]])
+                    targets[g] = np.repeat(met, blocks[met]), ranges(np.zeros(len(met), np.int64), blocks[met])
+            place = np.repeat(np.arange(len(groups)), np.array([len(targets[g][0]) for g in groups.tolist()], np.int64))
+            shards, numbers = (np.concatenate([*(targets[g][i] for g in groups.tolist()), np.empty(0, np.int64)]).astype(np.int64) for i in (0, 1))
+            rows = part.take(pa.array(place))
+            columns = [*(rows.column(c) for c in ("vec_id", "vector", "cell")), pa.array(shards), pa.array(numbers)]
+            yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "vector", "cell", "shard", "block"])
+
+    def of_group(values: list, kind: str) -> Column:
+        return F.element_at(F.array(*[F.lit(v).cast(kind) for v in values]), (F.col("cell") + 1).cast("int"))
+
+    place = F.struct(of_group(shard.tolist(), "long").alias("shard"), of_group([blocks[s] for s in shard], "long").alias("blocks"))
+    # a row goes to the turns whose queries may need its group: ranges of turns, as many as there are groups at most
+    spans = df.sparkSession.createDataFrame([(h, a, b) for h, own in enumerate(heard) for a, b in own], "cell long, first long, last long")
+    every = F.explode(F.sequence("first", "last")).alias("turn")
+    data = entries.withColumn("place", place).join(F.broadcast(spans), "cell").select(
+        "vec_id", "vector", "cell", "place.shard", F.pmod(F.xxhash64("vec_id"), F.col("place.blocks")).alias("block"), F.lit(False).alias("asks"), every
     )
     asks = entries.where(is_query).mapInArrow(sent, "vec_id long, vector array<long>, cell long, shard long, block long")
-    asks = asks.select("*", F.lit(True).alias("asks"), F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(turns)).cast("int").alias("turn"))
+    turn = of_group(turn_of.tolist(), "long") + F.pmod(F.xxhash64("vec_id", F.lit(1)), of_group(turns_of.tolist(), "long"))
+    asks = asks.select("*", F.lit(True).alias("asks"), turn.alias("turn"))
 
     def solve(table: pa.Table) -> pa.Table:
-        centres, radii, needed, _ = shared.value
+        centres, radii, needed, _, _ = shared.value
         asks, ids, cell = (table.column(c).to_numpy() for c in ("asks", "vec_id", "cell"))
         points = V.matrix(table.column("vector").combine_chunks())
         here, questions = np.flatnonzero(~asks), np.flatnonzero(asks)

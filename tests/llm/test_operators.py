@@ -237,6 +237,38 @@ def test_bounds_keep_every_needed_group():
     assert not needed.all()
 
 
+def test_rows_go_only_to_turns_that_may_need_them():
+    rng = np.random.default_rng(4)
+    needed = rng.random((40, 40)) < 0.1
+    asked = rng.integers(0, 60, 40).astype(float)
+    asked[7] = 450  # a hot group has turns of its own
+    first, number = topk.dealt_turns(asked, rng.integers(0, 9, 40), 100)
+    load: dict = {}
+    for g in range(40):
+        for t in range(int(number[g])):
+            load[first[g] + t] = load.get(first[g] + t, 0) + asked[g] / number[g]
+    assert number[7] == 5 and max(load.values()) <= 100 and all(load[first[7] + t] == 90 for t in range(5))
+    spans = topk.turns_needed(needed, asked, first, number)
+    sent = [{t for a, b in own for t in range(a, b + 1)} for own in spans]
+    assert all(len(own) == sum(b - a + 1 for a, b in spans[h]) for h, own in enumerate(sent))  # no row twice in a turn
+    wanted = [{int(first[g] + t) for g in range(40) if needed[g, h] and asked[g] for t in range(int(number[g]))} for h in range(40)]
+    assert sent == wanted
+    assert sum(map(len, sent)) < 0.5 * 40 * len(load)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_exact_search_in_turns_of_clustered_rows(spark, hot):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(10, 6)) * 5
+    x = centres[rng.integers(0, 10, 900)] + rng.normal(size=(900, 6)) * 0.2
+    if hot:
+        x[:300] = x[0]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    asks = lambda v: v % 3 == 0
+    assert answers(topk.search(df, F.col("vec_id") % 3 == 0, k=9, block=50)) == best(np.floor(64 * x), np.arange(900), 9, asks)
+    assert topk.search(df, F.col("vec_id") < 0, k=9, block=50).count() == 0  # nothing asked
+
+
 def windows_removed(rows, width):
     seen, out = set(), {}
     for i, text, _ in sorted(rows, key=lambda r: r[0]):

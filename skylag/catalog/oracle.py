@@ -804,7 +804,7 @@ def oracle_sql() -> dict[str, str]:
             + ", ".join(f"round(CAST(avg({c}) AS DOUBLE), 6)" for c in (*PARTS, "FL_MONTH", "FL_DAY_OF_WEEK", "SEASON", "PEAK_MORNING", "PEAK_EVENING"))
             + "] AS v FROM clean GROUP BY ROUTE)",
         ),
-        "knn_recall": on_clean("SELECT CAST(sum(least(15, n - 1)) AS BIGINT) AS links, true AS reached FROM (SELECT count(*) OVER () AS n FROM clean GROUP BY ROUTE)"),
+        "knn_recall": on_clean("SELECT CAST(sum(least(15, n - 1)) AS BIGINT) AS links, 1 AS reached FROM (SELECT count(*) OVER () AS n FROM clean GROUP BY ROUTE)"),
         "clean_pipeline": on_clean(f"SELECT {exact}, {real} FROM clean"),
         "model_matrix": _with(
             6,

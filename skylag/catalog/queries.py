@@ -205,7 +205,7 @@ def _knn_recall(df: DataFrame) -> DataFrame:
     found = knn_approximate(routes, "ROUTE", list(NEIGHBOUR_FEATURES), bucket_rows=64).select("src", "dst", F.lit(1).alias("found"))
     both = exact.join(found, ["src", "dst"], "full")
     hits = F.count(F.when(F.col("exact").isNotNull() & F.col("found").isNotNull(), 1))
-    return both.agg(F.count("exact").alias("links"), (hits >= 0.9 * F.count("exact")).alias("reached"))
+    return both.agg(F.count("exact").alias("links"), (hits >= 0.9 * F.count("exact")).cast("int").alias("reached"))
 
 
 FLOORS = Floors(ROUTE_FLOOR, CITY_FLOOR, AIRLINE_FLOOR)

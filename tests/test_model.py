@@ -312,3 +312,53 @@ def test_approximate_neighbours_of_few_rows_are_exact(spark):
     assert knn_approximate(df.where("v IS NULL"), "id", "v").count() == 0
     two = df.where("id IN (0, 199)")
     assert {(r["src"], r["dst"]) for r in knn_approximate(two, "id", "v").collect()} == {(0, 199), (199, 0)}
+
+
+def test_points_travel_to_groups_not_to_blocks(spark, monkeypatch):
+    """Where no block can be ruled out a point still goes to few groups, however small the blocks are."""
+    from skylag.operators import neighbours as N
+
+    stored, keep = {}, N.materialise
+    monkeypatch.setattr(N, "materialise", lambda df, name: stored.setdefault(name, keep(df, name)))
+    data = np.random.default_rng(8).normal(size=(1500, 24))
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "id long, v array<double>")
+    got = {}
+    for r in N.knn_graph(df, "id", "v", k=3, block_rows=8, chunk_rows=8).collect():
+        got.setdefault(r["src"], []).append((r["rank"], r["dst"]))
+    away = ((data[:, None, :] - data[None, :, :]) ** 2).sum(2)
+    np.fill_diagonal(away, np.inf)
+    order = np.argsort(away, axis=1)[:, :3]
+    assert all([d for _, d in sorted(got[i])] == order[i].tolist() for i in range(len(data)))
+    sent = [r["n"] for r in stored["routes"].select(F.size("groups").alias("n")).collect()]
+    assert len(sent) == 1500 and 8 < max(sent) <= 2 * N.SIDE
+
+
+def test_far_leaves_are_skipped():
+    """Only the leaves within the radius of a leaf of queries are compared, here less than a tenth of all pairs."""
+    import pyarrow as pa
+
+    from skylag.operators import neighbours as N
+
+    data = np.random.default_rng(9).random((20_000, 2))
+    asked, cloud = data[N._halved(data, N._LEAF)[0]], N._Leaves(data)
+    met = []
+    members = cloud.members
+    cloud.members = lambda leaves: met.append(members(leaves)) or met[-1]
+    q, p = N._close_pairs(asked, np.full(len(asked), np.inf), cloud, 1e-9, 16)
+    assert len(met) == 2 and len(met[1]) < 2_000 and len(set(q.tolist())) == len(asked)
+    counts, dst, _ = N.nearest_lists(asked, np.full(len(asked), np.inf), data, pa.array([[i] for i in range(len(data))]), 16)
+    away = ((asked[:, None, :] - data[None, :, :]) ** 2).sum(2)
+    assert (counts == 16).all() and (np.sort(dst.reshape(-1, 16)) == np.sort(np.argsort(away, axis=1)[:, :16])).all()
+
+
+def test_text_identifiers_are_numbered_in_their_order(spark):
+    from skylag.operators.projections import knn_approximate
+
+    df = spark.createDataFrame([(f"{i}", float(i % 4)) for i in range(40)], "id string, x double")
+    for graph in (knn_graph, knn_approximate):
+        got = {}
+        for r in graph(df, "id", ["x"], k=3).collect():
+            got.setdefault(r["src"], []).append((r["rank"], r["dst"], r["distance"]))
+        for i in range(40):
+            copies = sorted(str(j) for j in range(i % 4, 40, 4) if j != i)[:3]
+            assert sorted(got[str(i)]) == [(n + 1, c, 0.0) for n, c in enumerate(copies)]

@@ -72,3 +72,20 @@ def test_five_scans(spark, clean, tmp_path, monkeypatch):
     monkeypatch.setattr(report, "tally", lambda df: tallies.append(1) or real_tally(df))
     write_report(clean, str(tmp_path / "report"), Floors(1, 1, 1))
     assert len(sweeps) <= 4 and len(tallies) == 1
+
+
+def test_identifiers_do_not_fill_the_tally(spark, clean, tmp_path, monkeypatch):
+    """Tasks add up their rows by key, and the identifiers, each its own key, are counted apart."""
+    stored, keep = {}, report.materialise
+    monkeypatch.setattr(report, "materialise", lambda df, name: stored.setdefault(name, keep(df, name)))
+    write_report(clean, str(tmp_path / "report"), FLOORS)
+    assert 0 < stored["tally"].count() < clean.count()
+    text = {r["column"]: r for r in spark.read.parquet(str(tmp_path / "report" / "describe_text")).collect()}
+    assert text["FLIGHT_ID"]["unique"] == clean.count() and len(text) == 6
+
+
+def test_tally_hands_out_many_keys(clean, monkeypatch):
+    """A task that holds too many keys hands them out, and nothing is lost or counted twice."""
+    whole = rounded(report.tally(clean))
+    monkeypatch.setattr(report, "HELD_KEYS", 50)
+    assert rounded(report.tally(clean)) == whole

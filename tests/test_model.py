@@ -362,3 +362,31 @@ def test_text_identifiers_are_numbered_in_their_order(spark):
         for i in range(40):
             copies = sorted(str(j) for j in range(i % 4, 40, 4) if j != i)[:3]
             assert sorted(got[str(i)]) == [(n + 1, c, 0.0) for n, c in enumerate(copies)]
+
+
+def test_only_leaves_that_some_query_needs_are_compared():
+    """A leaf of queries is wide in many dimensions: its box is near many leaves that lie beyond the radius of each query."""
+    from skylag.operators import neighbours as N
+
+    rng, n = np.random.default_rng(11), 30_000
+    a, b = rng.random((2, n)) * 2 * np.pi
+    data = np.column_stack([rng.normal(size=(n, 2)), np.sin(a), np.cos(a), np.sin(b), np.cos(b), rng.integers(1, 13, n), rng.integers(1, 8, n)])
+    asked, cloud = data[N._halved(data, N._LEAF)[40]], N._Leaves(data)
+    met = []
+    members = cloud.members
+    cloud.members = lambda leaves: met.append(members(leaves)) or met[-1]
+    q, p = N._close_pairs(asked, np.full(len(asked), np.inf), cloud, 1e-9, 16)
+    assert len(met[-1]) < 15_000
+    away = ((asked[:, None, :] - cloud.vectors[None, :, :]) ** 2).sum(2)
+    for i in range(len(asked)):
+        assert set(np.argsort(away[i])[:16].tolist()) <= set(p[q == i].tolist())
+
+
+def test_names_meet_the_edges_once(spark):
+    """The source of an edge keeps its name from its row; only the other end is looked up."""
+    from skylag.operators.projections import knn_approximate
+
+    df = spark.createDataFrame([(f"{i}", float(i % 7)) for i in range(60)], "id string, x double")
+    for graph in (knn_graph, knn_approximate):
+        logical = graph(df, "id", ["x"], k=3)._jdf.queryExecution().optimizedPlan().toString()
+        assert logical.count("Relation [number") == 1

@@ -89,3 +89,31 @@ def test_tally_hands_out_many_keys(clean, monkeypatch):
     whole = rounded(report.tally(clean))
     monkeypatch.setattr(report, "HELD_KEYS", 50)
     assert rounded(report.tally(clean)) == whole
+
+
+def test_charts_are_derived_within_the_tasks(spark):
+    """Clipped, seasonal and known-only columns do not leave the JVM; they have the values of the SQL expressions."""
+    from pyspark.sql import functions as F
+
+    from skylag.functions import columns as C
+    from skylag.operators.partials import moments, sweep
+    from skylag.plans import report
+
+    rows = [("a", 10.0, 500.0, 1, 70.0, 2.0, None), ("b", None, 3.0, 2, 80.0, 0.5, "x"), ("c", -90.0, None, 1, None, 9.0, "y"), (None, 400.0, 4000.0, None, 500.0, None, "z"), ("d", -1.0, 7.0, 4, float("nan"), 1.5, "x")]
+    few = spark.createDataFrame(rows, "name string, ARR_DELAY double, DISTANCE double, SEASON int, CRS_ELAPSED_TIME double, AVG_SPEED double, ROUTE string")
+    swept = report._Swept(few)
+    assert len(swept.rows.rows.columns) == 6 and len(swept.names) == 21
+    one = report.Derived(swept.rows.rows.coalesce(1), swept.rows.made)
+    found = {swept.names[r["i"]]: r for r in sweep(one, moments()).collect()}
+    delay = C.clip(F.col("ARR_DELAY"), -60.0, 180.0)
+    want = {
+        "clipped delay": delay, "season 1": F.when(F.col("SEASON") == 1, delay), "season 4": F.when(F.col("SEASON") == 4, delay),
+        "box CRS_ELAPSED_TIME": C.clip(F.col("CRS_ELAPSED_TIME"), 0.0, 400.0), "box AVG_SPEED": C.clip(F.col("AVG_SPEED"), 1.0, 6.0),
+        "line DISTANCE": F.when(F.col("ARR_DELAY").isNotNull(), F.col("DISTANCE")), "all rows": F.lit(1.0), "negative": F.when(F.col("ARR_DELAY") < 0, 1.0),
+        "known name": F.when(F.col("name").isNotNull(), 1.0), "known ROUTE": F.when(F.col("ROUTE").isNotNull(), 1.0),
+        "incomplete": F.when(F.col("name").isNull() | F.col("ARR_DELAY").isNull() | F.col("DISTANCE").isNull() | F.col("SEASON").isNull() | F.col("CRS_ELAPSED_TIME").isNull() | F.col("AVG_SPEED").isNull() | F.col("ROUTE").isNull(), 1.0),
+    }
+    state = few.coalesce(1).select(*[w.alias(n) for n, w in want.items()]).toPandas()
+    for name in want:
+        known = state[name].dropna()
+        assert (found[name]["n"], found[name]["low"], found[name]["high"]) == (len(known), known.min(), known.max()), name

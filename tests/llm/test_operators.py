@@ -126,6 +126,51 @@ def test_language_model(docs, rows, empty):
     assert lm_scoring.score_texts(empty, learns).count() == 0
 
 
+def test_words_of_a_class_hang_on_their_history(spark):
+    pairs = [("left", "aaing", 60), ("right", "bbing", 60), ("left", "bbing", 6), ("right", "aaing", 6)]
+    texts = [f"{a} {b} after" for a, b, n in pairs for _ in range(n)]
+    held = [f"{a} {b} after" for a, b, _ in pairs]
+    rows = [*enumerate(texts), *enumerate(held, 1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    got = {r["doc_id"]: r["score"] for r in lm_scoring.score_texts(docs, "doc_id < 1000").collect()}
+    # both words are as frequent and of one class
+    assert got[1000] - got[1002] > 0.2 and got[1001] - got[1003] > 0.2
+
+
+def test_score_is_the_softmax_over_classes_and_words(spark, monkeypatch):
+    rng = random.Random(4)
+    words = [a + b + c for a in ("ba", "ko", "mi", "tu") for b in ("", "r", "s", "lo") for c in ("ing", "ed", "s")]
+    rows = [(i, " ".join(rng.choices(words, range(1, len(words) + 1), k=rng.randint(0, 30)))) for i in range(60)]
+    rows += [(1000, "baing unknown words KOED"), (1001, None)]
+    kept, train = [], lm_scoring.train
+    monkeypatch.setattr(lm_scoring, "train", lambda *args: kept.append((train(*args), *args[1:3])) or kept[0][0])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in lm_scoring.score_texts(docs, "doc_id < 1000").collect()}
+    weights, _, own = kept[0]
+    assert np.abs(weights[0]).max() > 0 and np.abs(weights[1]).max() > 0
+
+    counts = Counter(w for i, text in rows if i < 1000 for w in [*text.split(), None])
+    known = [w for w in counts if w]
+    codes, vocab, cells, _ = lm_scoring._tokens(pa.array([" ".join(known)]))
+    place = dict(zip([*known, None], zip(*(x[codes].tolist() for x in lm_scoring._placed(vocab, cells, own)), strict=True), strict=True))
+    assert len({place[w] for w in known if place[w][1] < lm_scoring.OWN}) == len(own[0])
+    for i, text in rows:
+        codes, vocab, cells, bounds = lm_scoring._tokens(pa.array([text or ""]))
+        histories = lm_scoring._histories(codes, vocab, bounds)
+        classes, slots = (x[codes] for x in lm_scoring._placed(vocab, cells, own))
+        expected = 0.0
+        for k, w in enumerate([*WORD.findall(lower(text or "")), None]):
+            logits = lm_scoring._logits(weights[0], histories[:, k : k + 1])[0].astype(float)
+            expected += logits[classes[k]] - math.log(sum(math.exp(x) for x in logits))
+            if w is None:
+                continue  # the only word of its class
+            theta = lm_scoring._logits(weights[1], lm_scoring._within(histories[:, k : k + 1], classes[k : k + 1]))[0].astype(float)
+            rivals = [math.log(counts[x] + 1) + theta[place[x][1]] for x in known if place[x][0] == classes[k]]
+            rivals += theta[lm_scoring.OWN :].tolist()  # an unknown word in every shared slot
+            expected += math.log(counts[w] + 1) + theta[slots[k]] - math.log(sum(math.exp(x) for x in rivals))
+        assert got[i] == pytest.approx(expected / math.log(10), rel=1e-4)
+
+
 def test_class_softmax_is_a_distribution():
     weights = np.random.default_rng(1).normal(size=(lm_scoring._FEATURES * lm_scoring.SLOTS + 1, lm_scoring.CLASSES)).astype(np.float32)
     codes, vocab, _, bounds = lm_scoring._tokens(pa.array(["a b c", "", "b"]))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@cache
+def _trim() -> Callable[[int], int] | None:
+    """glibc's call that returns freed pages; other C libraries have none."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError, TypeError):
+        return None
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers outlive their tasks, and what idle ones hold counts for the executor too."""
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
 def sliced(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Row ranges of the batches whose ``column`` holds at most ``limit`` bytes (one row may hold more)."""
     for batch in batches:
@@ -45,7 +63,7 @@ def sliced(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             before = total[start - 1] if start else 0
             end = max(start + 1, int(np.searchsorted(total, before + limit, "right")))
             yield batch.slice(start, end - start)
-            pa.default_memory_pool().release_unused()
+            give_back()
             start = end
 
 
@@ -127,3 +145,14 @@ def per_text(fn: Callable[[pa.RecordBatch], pa.RecordBatch], limit: int = SLICE_
                 yield out
 
     return run
+
+
+def per_group(fn: Callable[[pa.Table], pa.Table]):
+    """Lift a function of one bounded group to an ``applyInArrow`` function."""
+
+    def run(table: pa.Table) -> pa.Table:
+        out = fn(table)
+        give_back()
+        return out
+
+    return run

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .arrow import Words, checkpointed, hashes, lean, mixed, per_text, ranges, rolling, words_of
+from .arrow import Words, checkpointed, hashes, lean, mixed, per_group, per_text, ranges, rolling, words_of
 from .components import components
 
 SHINGLE = 5
@@ -373,7 +373,7 @@ def _possible(members: DataFrame, groups: int, percent: int) -> DataFrame:
         return table.select(["doc_id", "n", "leader", "is_leader", "large", "unit", "asks"]).filter(pa.array(keep))
 
     kinds = "doc_id long, n long, leader long, is_leader boolean, large boolean, unit long, asks boolean"
-    return _grouped(members, groups).applyInArrow(run, kinds)
+    return _grouped(members, groups).applyInArrow(per_group(run), kinds)
 
 
 def _homes(members: DataFrame, groups: int, width: int, percent: int, frequent: np.ndarray) -> DataFrame:
@@ -402,7 +402,7 @@ def _homes(members: DataFrame, groups: int, width: int, percent: int, frequent:
                     second.append(x)
         return pa.table({"kind": pa.array(kinds, pa.int32()), "a": pa.array(first, pa.int64()), "b": pa.array(second, pa.int64())})
 
-    return _grouped(members, groups).applyInArrow(run, "kind int, a long, b long")
+    return _grouped(members, groups).applyInArrow(per_group(run), "kind int, a long, b long")
 
 
 def _strays(members: DataFrame, linked: DataFrame, fill: int) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import checkpointed, lean, per_text, ranges, words_of
+from .arrow import checkpointed, lean, per_group, per_text, ranges, words_of
 
 CAPACITY = 2048
 PER_PARTITION = 60_000
@@ -293,7 +293,7 @@ def pack(
         parts = -(-n // per_partition)
         last = turn == rounds - 1 or (turn > 0 and parts == 1)
         dealt = open_rows.select(*columns, F.pmod(F.xxhash64("doc_id", "piece", F.lit(turn)), F.lit(parts)).alias("part"))
-        grouped = dealt.groupBy("part").applyInArrow(_with_part(_pack_group(capacity, last)), out_type)
+        grouped = dealt.groupBy("part").applyInArrow(per_group(_with_part(_pack_group(capacity, last))), out_type)
         packed = checkpointed(grouped)
         number = (F.lit(turn).cast("long") * (1 << 56)) + F.col("part") * (1 << 28) + F.col("bin")
         placed.append(packed.where("closed").select(*columns, number.alias("sequence_id"), "offset", "bins", "bound"))

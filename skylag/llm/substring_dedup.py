@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import Words, checkpointed, hashes, lean, per_text, ranges, rolling, with_rest, words_of
+from .arrow import Words, checkpointed, hashes, lean, per_group, per_text, ranges, rolling, with_rest, words_of
 
 WINDOW = 20
 ANCHOR = 5
@@ -164,7 +164,7 @@ def _subtrees(contexts: DataFrame, groups: int, window: int, anchor: int) -> Dat
 
     chunk = F.pmod(F.xxhash64("doc_id"), F.col("chunks"))
     dealt = contexts.select(F.pmod(F.xxhash64("gram", chunk), F.lit(groups)).alias("part"), "doc_id", "at", "chunks", "words")
-    return dealt.groupBy("part").applyInArrow(run, "doc_id long, at long, mask long, words string")
+    return dealt.groupBy("part").applyInArrow(per_group(run), "doc_id long, at long, mask long, words string")
 
 
 def _frequent(contexts: DataFrame, window: int) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 from ..session import shared_dir
 
 SLICE_BYTES = 8 << 20
+NARROW_SLICE = 2 << 20  # for steps that keep many times their texts
 WIDE_SLICE = 24 << 20  # for steps that keep little besides the texts: fewer words are met anew in each slice
 
 

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import checkpointed, lean, per_group, per_text, ranges, words_of
+from .arrow import NARROW_SLICE, checkpointed, lean, per_group, per_text, ranges, words_of
 
 CAPACITY = 2048
 PER_PARTITION = 60_000
@@ -195,7 +195,7 @@ def tokenise(
             columns.append(pa.array(kept, pa.binary()))
         return pa.RecordBatch.from_arrays(columns, names=[n for n, _ in fields] + ["ids"] * keep_ids)
 
-    return lean(df, id_col, text_col).mapInArrow(per_text(run), names + ", ids binary" * keep_ids)
+    return lean(df, id_col, text_col).mapInArrow(per_text(run, NARROW_SLICE), names + ", ids binary" * keep_ids)
 
 
 def lower_bound(sizes: np.ndarray, capacity: int) -> int:

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import Words, hashes, ranges, sliced, words_of
+from .arrow import NARROW_SLICE, Words, hashes, ranges, sliced, words_of
 
 BUCKETS = 1 << 40
 PREFIXES = (4, 5)  # beginnings of words, as features of their own
@@ -142,7 +142,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grade: str, id_col: str = "doc_id",
     sample = sample.groupBy("rated").agg(F.max(F.col(f"`{text_col}`")).alias("text"), F.min("grade").alias("grade")).select("text", "grade").dropna()
 
     def run(batches):
-        for part in sliced(batches):
+        for part in sliced(batches, limit=NARROW_SLICE):
             bucket, bounds, form = features(part.column("text"))
             lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(bucket))
             shape = pa.ListArray.from_arrays(pa.array(np.arange(0, form.size + 1, FORM, dtype=np.int32)), pa.array(form.ravel()))
@@ -176,7 +176,7 @@ def grade_texts(df: DataFrame, model: OrdinalModel, text_col: str = "text", keep
     place = kept.index(text_col)
 
     def run(batches):
-        for part in sliced(batches, text_col):
+        for part in sliced(batches, text_col, NARROW_SLICE):
             tails = shared.value.tails(part.column(place).fill_null(""))
             columns = [*part.columns, pa.array(tails.sum(axis=1)), pa.array(tails[:, -1]), pa.array(tails[:, -1] >= keep)]
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, *added])

@@ -92,6 +92,15 @@ def test_job_without_identifiers(spark, raw, tmp_path):
     assert read_flights_csv(spark, str(tmp_path / "out" / "clean_csv")).count() == clean
 
 
+def test_the_registered_job_searches_neighbours_of_the_whole_training_part(raw, monkeypatch):
+    from skylag.catalog import queries as Q
+
+    few = raw.orderBy("FLIGHT_ID").limit(400).localCheckpoint()
+    monkeypatch.setattr(Q.star, "flights", lambda spark, folder: few)
+    rows = {r["table_name"]: r["rows"] for r in Q.queries()["job_index"](few.sparkSession, "").collect()}
+    assert rows["train"] > 100 and rows["neighbours"] == 15 * rows["train"]
+
+
 def test_stream_equals_batch(spark, raw, clean, tmp_path):
     arrivals, sink = str(tmp_path / "in"), str(tmp_path / "out")
     raw.repartition(3).write.parquet(arrivals)

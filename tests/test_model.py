@@ -390,3 +390,24 @@ def test_names_meet_the_edges_once(spark):
     for graph in (knn_graph, knn_approximate):
         logical = graph(df, "id", ["x"], k=3)._jdf.queryExecution().optimizedPlan().toString()
         assert logical.count("Relation [number") == 1
+
+
+def test_leaves_part_at_whole_values():
+    """Columns of few values are cut between them, so the boxes of two months do not touch and few leaves are compared."""
+    from skylag.operators import neighbours as N
+
+    rng, n = np.random.default_rng(12), 30_000
+    data = np.column_stack([rng.integers(1, 13, n), rng.integers(1, 8, n), rng.integers(1, 5, n), rng.normal(size=(n, 3))])
+    cloud, met = N._Leaves(data, N._LEAF // 2), []
+    members = cloud.members
+    cloud.members = lambda leaves: met.append(members(leaves)) or met[-1]
+    leaves = N._halved(data, N._LEAF)
+    assert sorted(np.concatenate(leaves).tolist()) == list(range(n))
+    for leaf in leaves[::40]:
+        met.clear()
+        asked = data[leaf]
+        q, p = N._close_pairs(asked, np.full(len(asked), np.inf), cloud, 1e-9, 16)
+        assert sum(map(len, met)) < 6_000
+        away = ((asked[:, None, :] - cloud.vectors[None, :, :]) ** 2).sum(2)
+        for i in range(len(asked)):
+            assert set(np.argsort(away[i])[:16].tolist()) <= set(p[q == i].tolist())

@@ -411,3 +411,35 @@ def test_leaves_part_at_whole_values():
         away = ((asked[:, None, :] - cloud.vectors[None, :, :]) ** 2).sum(2)
         for i in range(len(asked)):
             assert set(np.argsort(away[i])[:16].tolist()) <= set(p[q == i].tolist())
+
+
+def test_only_the_last_band_of_approximate_neighbours_stays_on_disk(spark, monkeypatch):
+    """Each band's points and lists are stored and its predecessor is removed; links are those of all bands merged at once."""
+    import os
+
+    from skylag.operators import neighbours as N
+    from skylag.operators import projections as J
+
+    names, folders, keep, drop = [], [], J.materialise, J.discard
+    for module in (J, N):
+        monkeypatch.setattr(module, "materialise", lambda df, name: names.append(name) or keep(df, name))
+    monkeypatch.setattr(J, "discard", lambda df: folders.extend({os.path.dirname(f).removeprefix("file:") for f in df.inputFiles()}) or drop(df))
+    monkeypatch.setattr(J, "ACCURACY", 100_000)  # exact cuts, whatever the partitions are
+    data = np.random.default_rng(13).normal(size=(1200, 4))
+    text = spark.createDataFrame([(f"{i:04}", [float(x) for x in v]) for i, v in enumerate(data)], "id string, v array<double>")
+    assert J.knn_approximate(text, "id", "v", k=4, bands=3, bucket_rows=60).count() == 4800
+    assert names.count("lists") == 3
+    assert len(folders) == len(set(folders)) == 5 and not any(os.path.exists(f) for f in folders)  # vectors, numbers, points, two bands
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "id long, v array<double>")
+    got: dict[int, list] = {}
+    for r in J.knn_approximate(df, "id", "v", k=4, bands=3, bucket_rows=60).orderBy("src", "rank").collect():
+        got.setdefault(r["src"], []).append(r["dst"])
+    buckets: dict[tuple, list] = {}
+    for r in J._bucketed(df.selectExpr("id AS uid", "v AS vec"), 1200, "bigint", 3, 60, 42).collect():
+        buckets.setdefault((r["band"], r["code"], r["piece"]), []).append(r["uid"])
+    near: dict[int, set] = {}
+    for members in buckets.values():
+        for i in members:
+            near.setdefault(i, set()).update(members)
+    for i, met in near.items():
+        assert got[i] == sorted(met - {i}, key=lambda j: math.dist(data[i], data[j]))[:4]
